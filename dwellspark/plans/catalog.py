@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from dwellspark.plans import fixtures, queries_filters, queries_sources  # noqa: F401
+from dwellspark.plans import (  # noqa: F401
+    fixtures,
+    queries_filters,
+    queries_managers,
+    queries_norms,
+    queries_sources,
+    queries_tracking,
+)
 from dwellspark.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
