@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwellspark import constants as K
 from dwellspark.functions.text import whole_days
 
 CHUNK = 65_536
@@ -36,6 +37,27 @@ def merge_series(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     return hist.groupBy(*keys, "day").agg(F.sum("cnt").alias("cnt"))
 
 
+def series_histogram(
+    records: DataFrame,
+    keys: Sequence[str] = ("product_group", "product", "stage_key"),
+    metrics: Sequence[str] = ("days_on_stage", "days_since_deal"),
+    tb: str = "tb",
+    all_label: str = K.ALL_SERIES,
+) -> DataFrame:
+    """Histograms of all series of the dashboard: per metric, by territory and over all of them.
+
+    Records are counted once; the overall series are the sum of the territories.
+    """
+    values = F.array(
+        *[F.struct(F.lit(m).alias("metric"), whole_days(F.col(m)).alias("day")) for m in metrics]
+    )
+    long = records.select(tb, *keys, F.inline(values)).filter(F.col("day").isNotNull())
+    by_tb = long.groupBy(tb, *keys, "metric", "day").agg(F.count(F.lit(1)).alias("cnt"))
+    labels = F.array(F.col(tb), F.lit(all_label))
+    both = by_tb.withColumn(tb, F.explode(labels))
+    return both.groupBy(tb, *keys, "metric", "day").agg(F.sum("cnt").alias("cnt"))
+
+
 def _valid(cnt: str = "cnt") -> Column:
     return F.when(F.col("day").isNotNull(), F.col(cnt)).otherwise(F.lit(0))
 

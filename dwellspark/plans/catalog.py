@@ -5,6 +5,7 @@ from dwellspark.plans import (  # noqa: F401
     queries_filters,
     queries_managers,
     queries_norms,
+    queries_series,
     queries_sources,
     queries_tracking,
 )

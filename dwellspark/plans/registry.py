@@ -37,7 +37,9 @@ def with_ctes(sql: str) -> str:
     if not needed:
         return sql
     parts = [f"{n} AS ({b.strip()})" for n, b in _CTES.items() if n in needed]
-    return "WITH " + ",\n".join(parts) + "\n" + sql.strip()
+    named, sql = "WITH " + ",\n".join(parts), sql.strip()
+    # A query with parts of its own continues the list.
+    return f"{named},\n{sql[5:]}" if sql.startswith("WITH ") else f"{named}\n{sql}"
 
 
 def query(name: str, sql: str | None = None):
