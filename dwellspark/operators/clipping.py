@@ -60,45 +60,61 @@ def _number(value: Any) -> float | None:
         return None
 
 
-def _drop(rule: dict[str, Any], group: Window, ordered: Window, min_size: int) -> Column:
-    """Days a rule would remove from the rows still kept (`kept`)."""
-    mode, day, false = rule["mode"], F.col("day"), F.lit(False)
-    live = F.col("kept") & day.isNotNull()
-    live_day = F.when(live, day)
-    leads = F.sum(F.when(live, F.col("cnt")).otherwise(0)).over(group)
-    low_pct = _number(rule.get("trim_lower_pct")) or 0.0
-    high_pct = _number(rule.get("trim_upper_pct")) or 0.0
-    if mode in RANGE_MODES:
-        low, high = _number(rule.get("min_days")), _number(rule.get("max_days"))
-        drop = false
-        if low is not None:
-            drop = drop | (day < low)
-        if high is not None:
-            drop = drop | (day > high)
-        return live & drop
+def _limits(rule: dict[str, Any], group: Window, ordered: Window) -> dict[str, Column]:
+    """Figures of the group that a rule needs, over the rows still kept."""
+    live = F.col("kept") & F.col("day").isNotNull()
+    day = F.when(live, F.col("day"))
+
+    def percentile(share: float) -> Column:
+        return F.percentile(day, F.lit(share), F.col("cnt")).over(group)
+
+    mode = rule["mode"]
+    leads = {"_leads": F.sum(F.when(live, F.col("cnt")).otherwise(0)).over(group)}
     if mode in PERCENTILE_MODES:
-        drop = false
-        if low_pct > 0:
-            drop = drop | (day < F.percentile(live_day, F.lit(low_pct / 100.0), F.col("cnt")).over(group))
-        if high_pct > 0:
-            upper = F.lit((100.0 - high_pct) / 100.0)
-            drop = drop | (day > F.percentile(live_day, upper, F.col("cnt")).over(group))
-        return live & (leads >= max(min_size, 3)) & drop
+        low, high = _shares(rule)
+        return {
+            **leads,
+            "_low": percentile(low / 100.0) if low > 0 else F.lit(None).cast("double"),
+            "_high": percentile((100.0 - high) / 100.0) if high > 0 else F.lit(None).cast("double"),
+        }
+    if mode in IQR_MODES:
+        return {**leads, "_low": percentile(0.25), "_high": percentile(0.75)}
     if mode in UNIQUE_MODES:
-        days = F.count_if(live).over(group)
-        place = F.count_if(live).over(ordered)
-        low_n = F.floor(days * F.lit(low_pct) / 100.0) if low_pct > 0 else F.lit(0)
-        high_n = F.floor(days * F.lit(high_pct) / 100.0) if high_pct > 0 else F.lit(0)
-        usable = (leads >= max(min_size, 3)) & (days >= 2) & (low_n + high_n < days)
-        return live & usable & ((place <= low_n) | (place > days - high_n))
+        return {
+            **leads,
+            "_days": F.count_if(live).over(group),
+            "_place": F.count_if(live).over(ordered),
+        }
+    return {}
+
+
+def _shares(rule: dict[str, Any]) -> tuple[float, float]:
+    return _number(rule.get("trim_lower_pct")) or 0.0, _number(rule.get("trim_upper_pct")) or 0.0
+
+
+def _outside(rule: dict[str, Any], min_size: int) -> Column:
+    """Days a rule would remove, given the figures of `_limits`."""
+    mode, day, low, high = rule["mode"], F.col("day"), F.col("_low"), F.col("_high")
+    if mode in RANGE_MODES:
+        least, most = _number(rule.get("min_days")), _number(rule.get("max_days"))
+        below = F.lit(False) if least is None else day < least
+        return below if most is None else below | (day > most)
+    if mode in PERCENTILE_MODES:
+        cut = F.coalesce(day < low, F.lit(False)) | F.coalesce(day > high, F.lit(False))
+        return (F.col("_leads") >= max(min_size, 3)) & cut
     if mode in IQR_MODES:
         k = 1.5 if rule.get("iqr_k") is None else float(rule["iqr_k"])
-        q1 = F.percentile(live_day, F.lit(0.25), F.col("cnt")).over(group)
-        q3 = F.percentile(live_day, F.lit(0.75), F.col("cnt")).over(group)
-        outside = (day < q1 - (q3 - q1) * k) | (day > q3 + (q3 - q1) * k)
-        return live & (leads >= max(min_size, 4)) & (q3 > q1) & outside
+        cut = (day < low - (high - low) * k) | (day > high + (high - low) * k)
+        return (F.col("_leads") >= max(min_size, 4)) & (high > low) & cut
+    if mode in UNIQUE_MODES:
+        lower, upper = _shares(rule)
+        days, place = F.col("_days"), F.col("_place")
+        low_n = F.floor(days * F.lit(lower) / 100.0) if lower > 0 else F.lit(0)
+        high_n = F.floor(days * F.lit(upper) / 100.0) if upper > 0 else F.lit(0)
+        usable = (F.col("_leads") >= max(min_size, 3)) & (days >= 2) & (low_n + high_n < days)
+        return usable & ((place <= low_n) | (place > days - high_n))
     warnings.warn(f"clipping rule {rule['name']!r}: unknown mode {mode!r}, nothing clipped", stacklevel=2)
-    return false
+    return F.lit(False)
 
 
 def clip(
@@ -122,8 +138,11 @@ def clip(
         names.append(audit)
         floor = _number(rule.get("min_remaining"))
         floor = max(0, int(floor if floor is not None else min_remaining))
-        drop = F.coalesce(_drop(rule, group, ordered, min_group_size) & _in_scope(rule, keys), F.lit(False))
-        work = work.withColumn("_drop", drop)
+        limits = _limits(rule, group, ordered)
+        work = work.withColumns(limits) if limits else work
+        live = F.col("kept") & F.col("day").isNotNull()
+        drop = live & _outside(rule, min_group_size) & _in_scope(rule, keys)
+        work = work.withColumn("_drop", F.coalesce(drop, F.lit(False))).drop(*limits)
         work = work.withColumns(
             {
                 "_left": F.sum(F.when(F.col("kept"), F.col("cnt")).otherwise(0)).over(group),

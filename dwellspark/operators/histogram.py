@@ -58,24 +58,17 @@ def series_histogram(
     return both.groupBy(tb, *keys, "metric", "day").agg(F.sum("cnt").alias("cnt"))
 
 
-def _valid(cnt: str = "cnt") -> Column:
-    return F.when(F.col("day").isNotNull(), F.col(cnt)).otherwise(F.lit(0))
-
-
 def cumulate(hist: DataFrame, keys: Sequence[str], cnt: str = "cnt") -> DataFrame:
     """Add `n`, the leads with known days of the group, and `cum`, those up to the day."""
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy(F.col("day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    return hist.withColumns(
-        {"n": F.sum(_valid(cnt)).over(group), "cum": F.sum(_valid(cnt)).over(upto)}
+    by = ", ".join(f"`{k}`" for k in keys)
+    known = f"sum(CASE WHEN day IS NOT NULL THEN {cnt} ELSE 0L END)"
+    return hist.selectExpr(
+        "*",
+        f"{known} OVER (PARTITION BY {by}) AS n",
+        f"{known} OVER (PARTITION BY {by} ORDER BY day NULLS FIRST ROWS UNBOUNDED PRECEDING) AS cum",
     )
 
 
-def rank_of(p: float, n: Column) -> Column:
-    """Position of the percentile among n sorted values: the upper end of the lower share."""
-    return F.greatest(F.lit(1), F.ceil(F.lit(p / 100.0) * n))
-
-
 def percentile_stats(
     hist: DataFrame,
     keys: Sequence[str],
@@ -90,48 +83,43 @@ def percentile_stats(
     the size, minimum and maximum of the lower share and the leads at or below
     and above it. `extra` are further aggregates of the histogram rows.
     """
-    day, cum, n = F.col("day"), F.col("cum"), F.col("n")
-    some = F.max("n") > 0
-    zero = F.lit(0).cast("long")
     # Rows with no lead in them (a clipped day) take no part.
-    here = day.isNotNull() & (F.col(cnt) > 0)
+    here = f"day IS NOT NULL AND {cnt} > 0"
     aggs = [
-        F.min(F.when(here, day)).alias("min"),
-        F.max(F.when(here, day)).alias("max"),
-        F.max("n").cast("long").alias("count"),
-        F.coalesce(F.min(F.when(here, cum)), zero).alias("min_le_count"),
+        f"min(day) FILTER (WHERE {here}) AS _min",
+        f"max(day) FILTER (WHERE {here}) AS _max",
+        "max(n) AS _n",
+        f"coalesce(min(cum) FILTER (WHERE {here}), 0) AS _min_le",
     ]
-    for p in percentiles:
-        reached = here & (cum >= rank_of(p, n))
-        label = percentile_label(p)
-        aggs += [
-            F.min(F.when(reached, day)).alias(f"{label}_days"),
-            F.when(some, F.max(rank_of(p, n))).otherwise(zero).alias(f"{label}_count"),
-            F.coalesce(F.min(F.when(reached, cum)), zero).alias(f"{label}_le_count"),
-        ]
-    stats = cumulate(hist, keys, cnt).groupBy(*keys).agg(*aggs, *extra)
     columns = [
-        F.col("min").alias(f"{prefix}_min"),
-        F.col("max").alias(f"{prefix}_max"),
-        F.col("count").alias(f"{prefix}_count"),
-        F.col("min_le_count").alias(f"{prefix}_min_le_count"),
-        (F.col("count") - F.col("min_le_count")).alias(f"{prefix}_min_gt_count"),
-        F.col("count").alias(f"{prefix}_max_le_count"),
-        zero.alias(f"{prefix}_max_gt_count"),
+        f"_min AS {prefix}_min",
+        f"_max AS {prefix}_max",
+        f"_n AS {prefix}_count",
+        f"_min_le AS {prefix}_min_le_count",
+        f"_n - _min_le AS {prefix}_min_gt_count",
+        f"_n AS {prefix}_max_le_count",
+        f"0L AS {prefix}_max_gt_count",
     ]
     for p in percentiles:
-        label = percentile_label(p)
+        name = f"{prefix}_{percentile_label(p)}"
+        # The upper end of the lower share of n sorted values.
+        rank = f"greatest(1, ceil({p / 100.0!r}D * n))"
+        at = f"_{percentile_label(p)}"
+        aggs += [
+            f"min(day) FILTER (WHERE {here} AND cum >= {rank}) AS {at}_day",
+            f"coalesce(min(cum) FILTER (WHERE {here} AND cum >= {rank}), 0) AS {at}_le",
+        ]
         columns += [
-            F.col(f"{label}_days").alias(f"{prefix}_{label}_days"),
-            F.col(f"{label}_count").cast("long").alias(f"{prefix}_{label}_count"),
-            F.when(F.col("count") > 0, F.col("min")).alias(f"{prefix}_{label}_min"),
-            F.col(f"{label}_days").alias(f"{prefix}_{label}_max"),
-            F.col(f"{label}_le_count").alias(f"{prefix}_{label}_le_count"),
-            (F.col("count") - F.col(f"{label}_le_count")).alias(f"{prefix}_{label}_gt_count"),
+            f"{at}_day AS {name}_days",
+            f"CASE WHEN _n > 0 THEN {rank.replace('* n', '* _n')} ELSE 0L END AS {name}_count",
+            f"_min AS {name}_min",
+            f"{at}_day AS {name}_max",
+            f"{at}_le AS {name}_le_count",
+            f"_n - {at}_le AS {name}_gt_count",
         ]
-    added = [c for c in stats.columns if c not in {*keys, "min", "max", "count", "min_le_count"}]
-    added = [c for c in added if not any(c.startswith(percentile_label(p) + "_") for p in percentiles)]
-    return stats.select(*keys, *columns, *added)
+    stats = cumulate(hist, keys, cnt).groupBy(*keys).agg(*[F.expr(a) for a in aggs], *extra)
+    inner = len(keys) + len(aggs)
+    return stats.selectExpr(*[f"`{k}`" for k in keys], *columns, *[f"`{c}`" for c in stats.columns[inner:]])
 
 
 def _known(hist: DataFrame) -> DataFrame:

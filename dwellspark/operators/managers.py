@@ -402,25 +402,23 @@ def manager_summary(entries: DataFrame) -> DataFrame:
         F.max("exceeded").alias("exceeded"),
         F.min_by("group_product", F.struct("source", "ord")).alias("gp"),
     )
-    who = per_lead.groupBy("manager_key").agg(
-        F.min_by("who", "place").alias("who"),
-        F.count_if("exceeded").alias("exceeded_leads"),
-    )
-    counts = per_lead.filter(F.col("exceeded") & (F.col("gp") != "")).groupBy("manager_key", "gp").agg(
-        F.count(F.lit(1)).alias("violations")
+    per_segment = per_lead.groupBy("manager_key", "gp").agg(
+        F.min_by("who", "place").alias("who"), F.min("place").alias("place"), F.count_if("exceeded").alias("leads")
     )
-    listed = counts.groupBy(F.col("manager_key").alias("g_key")).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("violations")).alias("less"), "gp"))).alias("gps")
+    listed = F.col("leads") > 0
+    out = per_segment.groupBy("manager_key").agg(
+        F.min_by("who", "place").alias("who"),
+        F.sum("leads").alias("exceeded_leads"),
+        # As many entries as there are groups and products.
+        F.array_sort(
+            F.collect_list(F.when(listed & (F.col("gp") != ""), F.struct((-F.col("leads")).alias("less"), "gp")))
+        ).alias("gps"),
     )
-    text = F.array_join(
-        F.transform(
-            "gps", lambda g: F.concat(g["gp"], F.lit(" - "), (-g["less"]).cast("string"), F.lit(" нарушений"))
-        ),
-        "\n",
+    text = F.transform(
+        "gps", lambda g: F.concat(g["gp"], F.lit(" - "), (-g["less"]).cast("string"), F.lit(" нарушений"))
     )
-    joined = who.join(listed, F.col("manager_key") == F.col("g_key"), "left")
-    return joined.select(
-        "manager_key", "who.*", "exceeded_leads", F.coalesce(text, F.lit("")).alias("group_product")
+    return out.select(
+        "manager_key", "who.*", "exceeded_leads", F.array_join(text, "\n").alias("group_product")
     ).orderBy(F.desc("exceeded_leads"), "manager_key")
 
 

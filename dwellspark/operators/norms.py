@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from dwellspark import constants as K
 from dwellspark.functions.text import is_empty, strip, whole_days
-from dwellspark.operators.clipping import audit_names, clip_bounds
+from dwellspark.operators.clipping import audit_names, clip
 from dwellspark.operators.histogram import percentile_label, percentile_stats
+from dwellspark.session import materialise
 
 KEYS = ("product_group", "product", "current_status")
 
@@ -57,69 +58,77 @@ def norms(
     tb: str | None = "tb",
     all_label: str = K.ALL_TERRITORIES,
     tags: Sequence[str] = (),
+    cut: Callable[[DataFrame], DataFrame] = materialise,
 ) -> DataFrame:
     """Norms per group, with and without territory, after clipping.
 
     The records are read once: they are counted per group, manager and day, and
-    everything else works on those counts. `tags` are further group keys.
+    everything else works on those counts. Where the counts are used several
+    times they are written to reliable storage by `cut`. `tags` are further
+    group keys.
     """
     keys = [*tags, *keys]
-    km = km if km and km in records.columns else None
-    wants_km = km is not None and any(float(p) == 80.0 for p in percentiles)
+    km = km if km and km in records.columns and any(float(p) == 80.0 for p in percentiles) else None
     day_of = {m: f"_d{i}" for i, m in enumerate(dict.fromkeys([clip_metric, *metrics]))}
     work = records.withColumns({d: whole_days(F.col(m)) for m, d in day_of.items()})
     fine = [*([tb] if tb else []), *keys]
-    if wants_km:
+    if km:
         name = strip(F.col(km))
         work = work.withColumn("_km", F.when(~is_empty(name, K.EMPTY_MANAGER), name))
         fine.append("_km")
     cube = work.groupBy(*fine, *day_of.values()).agg(F.count(F.lit(1)).alias("cnt"))
     group = list(keys)
     if tb:
-        cube = with_overall(cube, tb, all_label)
         group = ["is_all", tb, *keys]
-    audits: list[str] = []
-    if clip_rules:
-        first = day_of[clip_metric]
-        hist = cube.groupBy(*group, F.col(first).alias("day")).agg(F.sum("cnt").alias("cnt"))
-        bounds = clip_bounds(hist, group, clip_rules, min_group_size, min_remaining)
-        audits = audit_names(clip_rules)
-        inside = F.col(first).isNull() | F.col(first).between(F.col("low_day"), F.col("high_day"))
-        cube = attach(cube, bounds, group, "inner")
-        cube = cube.withColumn("kept_cnt", F.when(inside, F.col("cnt")).otherwise(F.lit(0)))
-    else:
-        cube = cube.withColumn("kept_cnt", F.col("cnt"))
-    out = None
-    for metric in metrics:
-        stats = _metric_stats(cube, group, metric, day_of[metric], percentiles, audits, wants_km)
-        if out is None:
-            out = stats
-        else:
-            out = attach(out, stats.drop(*audits), group, "inner")
-    ordered = [*group, *[c for c in out.columns if c not in group and c not in audits], *audits]
-    return out.select(*ordered)
-
-
-def _metric_stats(cube, group, metric, day, percentiles, audits, wants_km) -> DataFrame:
-    held = [F.max(a).alias(a) for a in audits]
-    hist = cube.groupBy(*group, F.col(day).alias("day")).agg(F.sum("kept_cnt").alias("cnt"), *held)
-    stats = percentile_stats(hist, group, percentiles, metric, held)
-    if not wants_km:
-        return stats
-    # A manager counts when the longest kept stay reaches the norm.
-    threshold = f"{metric}_{percentile_label(80)}_days"
-    longest = (
-        cube.filter((F.col("kept_cnt") > 0) & F.col("_km").isNotNull())
-        .groupBy(*group, "_km")
-        .agg(F.max(day).alias("longest"))
-    )
-    reached = attach(longest, stats.select(*group, threshold), group, "inner")
-    counts = reached.groupBy(*group).agg(
-        F.count_if(F.col("longest") >= F.col(threshold)).alias("km_count")
+    if km or len(day_of) > 1:
+        # Used several times below; the records behind it are not read again.
+        cube = cut(cube)
+    if tb:
+        cube = with_overall(cube, tb, all_label)
+
+    hist = cube.groupBy(*group, F.col(day_of[clip_metric]).alias("day")).agg(F.sum("cnt").alias("cnt"))
+    hist = clip(hist, group, clip_rules, min_group_size, min_remaining)
+    kept = F.when(F.col("kept"), F.col("cnt")).otherwise(F.lit(0))
+    audits = audit_names(clip_rules) if clip_rules else []
+    ends = [
+        F.min(F.when(F.col("kept"), F.col("day"))).alias("_low"),
+        F.max(F.when(F.col("kept"), F.col("day"))).alias("_high"),
+    ]
+    once = [*[F.max(a).alias(a) for a in audits], *ends]
+    table = percentile_stats(
+        hist.withColumn("cnt", kept), group, percentiles, clip_metric, once
     )
-    name = f"{metric}_{percentile_label(80)}_km_count"
-    joined = attach(stats, counts, group)
-    return joined.withColumn(name, F.coalesce("km_count", F.lit(0)).cast("long")).drop("km_count")
+    others = [m for m in metrics if m != clip_metric]
+    if km or others:
+        table = cut(table)
+        inside = attach(cube, table.select(*group, "_low", "_high", *_thresholds(table, km)), group, "inner")
+        first = F.col(day_of[clip_metric])
+        inside = inside.filter(first.isNull() | first.between(F.col("_low"), F.col("_high")))
+        if km and clip_metric in metrics:
+            table = attach(table, _km_counts(inside, group, clip_metric, day_of[clip_metric]), group)
+        for metric in others:
+            day = day_of[metric]
+            h = inside.groupBy(*group, F.col(day).alias("day")).agg(F.sum("cnt").alias("cnt"))
+            stats = percentile_stats(h, group, percentiles, metric)
+            if km:
+                limit = stats.select(*group, f"{metric}_p80_days")
+                over = attach(inside, limit, group, "inner")
+                stats = attach(stats, _km_counts(over, group, metric, day), group)
+            table = attach(table, stats, group)
+    counts = [c for c in table.columns if c.endswith("_count")]
+    table = table.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in counts})
+    measures = [c for m in metrics for c in table.columns if c.startswith(f"{m}_")]
+    return table.select(*group, *measures, *audits)
+
+
+def _thresholds(table: DataFrame, km: str | None) -> list[str]:
+    return [c for c in table.columns if km and c.endswith("_p80_days")]
+
+
+def _km_counts(inside: DataFrame, group: Sequence[str], metric: str, day: str) -> DataFrame:
+    """Managers with at least one kept stay that reaches the norm."""
+    reached = inside.filter(F.col("_km").isNotNull() & (F.col(day) >= F.col(f"{metric}_p80_days")))
+    return reached.groupBy(*group).agg(F.count_distinct("_km").alias(f"{metric}_p80_km_count"))
 
 
 def stats_by_group(records: DataFrame, keys: Sequence[str], **options) -> DataFrame:

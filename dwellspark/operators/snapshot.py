@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dwellspark import constants as K
 from dwellspark.functions.text import client_name, is_empty, strip
@@ -54,7 +55,9 @@ def lead_snapshot(
     def newest(name: str) -> Column:
         if name in latest_only:
             return F.min_by(name, "_order")
-        filled = ~is_empty(F.col(name), K.EMPTY_SNAPSHOT)
+        # Only text can spell a missing value.
+        text = isinstance(df.schema[name].dataType, T.StringType)
+        filled = ~is_empty(F.col(name), K.EMPTY_SNAPSHOT) if text else F.col(name).isNotNull()
         return F.min_by(F.col(name), F.when(filled, F.col("_order")))
 
     snap = work.groupBy("lead_id").agg(

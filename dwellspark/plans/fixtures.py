@@ -11,13 +11,49 @@ from pyspark.sql import functions as F
 
 from dwellspark.operators.teams import contact_lookup
 from dwellspark.plans.registry import cte
+from dwellspark.session import spread
+
+
+# Declared, so that no job has to look into the files first.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+# Tables that grow with the data, and columns that tell their rows apart.
+FACTS = {
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"),
+    "events": ("event_id",),
+    "documents": ("doc_id",),
+    "orders": ("o_orderkey",),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = _dimension(spark, sf_dir, name)
+    return spread(df, *FACTS[name]) if name in FACTS else df
 
 
-_SEQ = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+def _dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Order of the rows: by order and line; lines that repeat differ in the last nine digits.
+_SEQ = (
+    "(l_orderkey * 10 + l_linenumber) * 1000000000 "
+    "+ (l_partkey * 31 + l_suppkey * 17 + cast(round(l_extendedprice * 100) as bigint)) % 1000000000"
+)
+_LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 # column -> (tables it needs besides lineitem, expression)
 _STAGE = {
@@ -42,10 +78,10 @@ _STAGE = {
     "change_conditions": ("", "l_linenumber % 2"),
     "data_entry": ("", "l_linenumber % 3"),
     "efs_flag": ("orders", "case when o_orderstatus = 'P' then 0 else 1 end"),
-    "seq": ("", "struct(" + ", ".join(_SEQ) + ")"),
+    "seq": ("", _SEQ),
     "line_key": (
         "",
-        "concat_ws('-', " + ", ".join(f"cast({c} as string)" for c in _SEQ[:4]) + ")",
+        "concat_ws('-', " + ", ".join(f"cast({c} as string)" for c in _LINE) + ")",
     ),
 }
 # table -> (join condition, tables that have to come first)
@@ -70,7 +106,7 @@ def stage_reports(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem")
     for name, (on, _) in _JOINS.items():
         if name in need:
-            df = df.join(table(spark, sf_dir, name), F.expr(on), "left")
+            df = df.join(_dimension(spark, sf_dir, name), F.expr(on), "left")
     return df.select(*[F.expr(_STAGE[c][1]).alias(c) for c in wanted])
 
 
@@ -116,7 +152,7 @@ _TEAM = {
     "is_leader": "case when l_linenumber % 2 = 1 then 'Да' else 'Нет' end",
     "tb": "r_name",
     "team_type": "case l_linenumber % 3 when 0 then '1' when 1 then '2.0' else '-' end",
-    "seq": "struct(" + ", ".join(_SEQ) + ")",
+    "seq": _SEQ,
 }
 
 
@@ -124,7 +160,7 @@ def team_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as roster rows."""
     df = table(spark, sf_dir, "lineitem")
     for name, (on, _) in _JOINS.items():
-        df = df.join(table(spark, sf_dir, name), F.expr(on), "left")
+        df = df.join(_dimension(spark, sf_dir, name), F.expr(on), "left")
     return df.select(*[F.expr(e).alias(c) for c, e in _TEAM.items()])
 
 
@@ -145,7 +181,6 @@ def _sql(expression: str) -> str:
                              "cast(date_diff('day', cast(o_orderdate as date), cast(l_shipdate as date)) as double)")
     out = out.replace("date_add(date'2023-12-01', cast(user_id % 20 as int))", "date '2023-12-01' + cast(user_id % 20 as int)")
     out = out.replace("date_add(date'2023-12-15', cast(user_id % 10 as int))", "date '2023-12-15' + cast(user_id % 10 as int)")
-    out = out.replace("struct(", "row(")
     return out.replace("as string)", "as varchar)")
 
 

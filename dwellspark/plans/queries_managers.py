@@ -486,7 +486,7 @@ cte(
 
 
 def run_entries(spark, sf, snap=None):
-    snap = run_exceedance(spark, sf) if snap is None else snap
+    snap = materialise(run_exceedance(spark, sf)) if snap is None else snap
     return M.manager_entries(snap, lead_leaders(spark, sf), deal_leaders(spark, sf))
 
 
@@ -530,5 +530,5 @@ def q_contact_managers(spark, sf):
           FROM en WHERE exceeded GROUP BY manager_key, lead_id) v JOIN ex ON v.lead_id = ex.lead_id""",
 )
 def q_violations(spark, sf):
-    snap = run_exceedance(spark, sf)
+    snap = materialise(run_exceedance(spark, sf))
     return M.violations(run_entries(spark, sf, snap), snap)

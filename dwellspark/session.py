@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Capturing the Python call site of every column makes plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -51,6 +53,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when a scan has fewer splits than there are cores.
+
+    A small file is one split, so one task would do all the work up to the first
+    shuffle. A large table has many splits and stays as it is. `keys` should
+    identify a row, so that no value is hot.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast hint only when a bounded count proves the rows few; else a plain join.
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from dwellspark.functions.dates import parse_date
 from dwellspark.functions.text import double_id, number, source_category, strip, text_id
+from dwellspark.session import spread
 
 # Canonical columns of a stage report. A file maps its own headers onto them.
 REPORT_SCHEMA = {
@@ -93,16 +94,15 @@ def read_files(
         reader = reader.schema(schema)
     df = reader.load(list(paths))
     name = F.col("_metadata.file_name").alias("source_file")
+    # A number instead of the name: the order goes through every later aggregation.
+    file = F.xxhash64("_metadata.file_path").alias("file")
     if fmt == "parquet":
-        place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+        place = F.struct(file, F.col("_metadata.row_index").alias("line"))
     else:
         place = F.struct(
-            F.col("_metadata.file_name").alias("file"),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")
-            ).alias("row"),
+            file, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
         )
-    return df.select("*", name, place.alias("seq"))
+    return spread(df.select("*", name, place.alias("seq")), "seq")
 
 
 def load_reports(
