@@ -25,6 +25,7 @@ def pivot_flat(
     group_only: bool = False,
     all_label: str = K.ALL_SERIES,
     stage: str = "stage_key",
+    tags: Sequence[str] = (),
 ) -> DataFrame:
     """Norms in long form: one row per territory, group, stage, metric and indicator."""
     cells = []
@@ -43,6 +44,7 @@ def pivot_flat(
     product = F.lit(K.GROUP_ONLY_PRODUCT) if group_only else F.col("product")
     level = [F.col("analysis_level")] if "analysis_level" in table.columns else []
     rows = table.filter(F.col("is_all") | F.col("tb").isNotNull()).select(
+        *tags,
         F.when(F.col("is_all"), F.lit(all_label)).otherwise(F.col("tb")).alias("tb"),
         "product_group",
         product.alias("product"),
