@@ -182,12 +182,15 @@ def _bucket_frame(hist: DataFrame, keys: Sequence[str], max_bars: int) -> DataFr
     """Smallest and largest day, number of distinct days and bucket width of every group."""
     span = F.col("max_day") - F.col("min_day") + 1
     return (
+        # Once per day first: a chart has many series on the same days.
         _known(hist)
+        .select(*keys, "day")
+        .distinct()
         .groupBy(*keys)
         .agg(
             F.min("day").alias("min_day"),
             F.max("day").alias("max_day"),
-            F.count_distinct("day").alias("distinct_days"),
+            F.count(F.lit(1)).alias("distinct_days"),
         )
         .withColumn("size", F.greatest(F.lit(1), F.ceil(span / F.lit(max_bars))).cast("long"))
         .withColumn("per_day", F.col("distinct_days") <= max_bars)

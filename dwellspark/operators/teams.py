@@ -24,6 +24,9 @@ from dwellspark.functions.text import (
 )
 
 
+_NO_DATE = 2**31 - 1
+
+
 def leaders_only(team: DataFrame, words: Sequence[str] = K.LEADER_WORDS) -> DataFrame:
     """Roster rows with the leader flag."""
     return team.filter(is_leader(F.col("is_leader"), words))
@@ -76,20 +79,23 @@ def latest_leaders(team: DataFrame, id_col: str, fold_case: bool = False, seq: s
     if fold_case:
         # This variant judges the newest date by named rows only.
         work = work.filter(F.col("name").isNotNull())
-    # Reduced to one row per id, date pair and name before the ids are compared.
+    # One row per id and name, with the newest pair of dates of that name and the
+    # first row on it. Dates count backwards, so the newest is the smallest.
     name_key = F.lower("name") if fold_case else F.col("name")
-    daily = work.groupBy("id", name_key.alias("name_key"), "report_date", "added").agg(
-        F.min_by(F.struct("name", "tab_number", "role", "tb"), F.col("seq")).alias("who"),
-        F.min("seq").alias("seq"),
+    back = F.struct(
+        (-F.unix_date("report_date")).alias("report"),
+        F.coalesce(-F.unix_date("added"), F.lit(_NO_DATE)).alias("added"),
     )
-    # Nulls are the smallest, so an added date wins whenever there is one.
-    newest = daily.groupBy("id").agg(F.max(F.struct("report_date", "added")).alias("top"))
-    n = newest.select(F.col("id").alias("n_id"), "top")
-    current = daily.join(n, F.col("id") == F.col("n_id")).filter(
-        (F.col("report_date") == F.col("top.report_date")) & F.col("added").eqNullSafe(F.col("top.added"))
+    order = F.struct(back.alias("dates"), F.col("seq").alias("seq"))
+    people = work.groupBy("id", name_key.alias("name_key")).agg(
+        F.min_by(F.struct("name", "tab_number", "role", "tb"), order).alias("who"), F.min(order).alias("first")
     )
+    # A name is current when its newest pair is the newest of the id.
+    newest = people.groupBy("id").agg(F.min("first.dates").alias("n_dates"))
+    n = newest.select(F.col("id").alias("n_id"), "n_dates")
+    current = people.join(n, (F.col("id") == F.col("n_id")) & (F.col("first.dates") == F.col("n_dates")))
     named = current.filter(F.col("name_key").isNotNull())
-    return named.select("id", "who.name", "who.tab_number", "who.role", "who.tb", "seq")
+    return named.select("id", "who.name", "who.tab_number", "who.role", "who.tb", F.col("first.seq").alias("seq"))
 
 
 def attach_contacts(

@@ -487,7 +487,8 @@ cte(
 
 def run_entries(spark, sf, snap=None):
     snap = materialise(run_exceedance(spark, sf)) if snap is None else snap
-    return M.manager_entries(snap, lead_leaders(spark, sf), deal_leaders(spark, sf))
+    # Each leader table is read twice: for the leaders and for the leads without any.
+    return M.manager_entries(snap, materialise(lead_leaders(spark, sf)), materialise(deal_leaders(spark, sf)))
 
 
 @query("q_manager_entries", "SELECT * EXCLUDE (ord) REPLACE (cast(source AS integer) AS source) FROM en")

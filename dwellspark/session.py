@@ -25,6 +25,8 @@ def local_session(cpus: int | str = 8, name: str = "dwellspark", **extra: str) -
     settings = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(cpus),
+        # Small shuffles still use all cores; on a cluster the default fits.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "12g"),
         **{k.replace("__", "."): v for k, v in extra.items()},
     }

@@ -68,7 +68,7 @@ def test_contact_file(spark, tmp_path):
 
 def test_broadcast_only_what_is_small(spark):
     small, large = spark.range(10), spark.range(1000)
-    assert "strategy=broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString()
     plan = large.join(broadcast_if_small(large.withColumnRenamed("id", "x"), 100), F.col("id") == F.col("x"))
     assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
 
