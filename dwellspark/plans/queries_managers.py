@@ -303,7 +303,7 @@ def run_team(detail, spark, sf):
 
 @query("q_team_compose", f"SELECT {_R}, name, array_to_string(roles, ' | ') AS roles FROM tp")
 def q_team_compose(spark, sf):
-    team = run_team(run_detail(spark, sf), spark, sf)
+    team = run_team(materialise(run_detail(spark, sf)), spark, sf)
     return team.select(*RECORD, "name", F.array_join("roles", " | ").alias("roles"))
 
 
@@ -316,7 +316,8 @@ cte(
 
 def run_members(spark, sf):
     """Member x record rows, with the teams kept for the lists."""
-    detail = run_detail(spark, sf)
+    # The four sources of a team and the members all read the records.
+    detail = materialise(run_detail(spark, sf))
     team = run_team(detail, spark, sf)
     return M.explode_members(detail, team, list(RECORD)), team
 
