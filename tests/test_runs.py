@@ -91,7 +91,7 @@ def test_no_nested_loop_join(spark, name):
 
 
 def test_hot_lead(spark):
-    """A lead with half of all rows gives the same result with and without adaptive execution."""
+    """A lead with about a third of all rows gives the same result with and without adaptive execution."""
     df = stage_reports(spark, SF)
     hot = df.withColumn("lead_id", F.when(F.col("data_entry") == 0, F.lit("HOT")).otherwise(F.col("lead_id")))
     from dwellspark.operators.snapshot import lead_snapshot
