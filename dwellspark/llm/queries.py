@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import bpe, chat, sharding, topk
+from dwellspark.llm import bpe, chat, neardup, repeats, sharding, topk
 from dwellspark.llm.tables import table
 
 #: The vocabulary of the token query.
@@ -17,6 +17,10 @@ def op2_hypergeometric_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_bottomk_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op6_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64)
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
@@ -41,11 +45,17 @@ def op9_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
+    "op5_bottomk_neardup": op5_bottomk_neardup,
     "op6_impact_topk": op6_impact_topk,
     "op7_grammar_chat": op7_grammar_chat,
     "op9_tree_bpe": op9_tree_bpe,
+    "op10_suffix_repeats": op10_suffix_repeats,
 }
 
 ORACLE = {
