@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import bpe, chat, neardup, repeats, sharding, topk
-from dwellspark.llm.tables import table
+from dwellspark.llm import bpe, chat, langid, neardup, repeats, sharding, topk, toxicity
+from dwellspark.llm.tables import id_bucket, table
 
 #: The vocabulary of the token query.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 3) == 1
+    net = langid.fit(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    found = langid.identify(langid.filled(docs.select("doc_id", "text")), net)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_hypergeometric_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,18 @@ def op7_grammar_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(turns.unionByName(hostile)))
 
 
+def op8_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    model = toxicity.character_model(docs)
+    scorer = toxicity.fit(docs, labels.filter(~held_out), model)
+    score = F.col("score")
+    return toxicity.score_documents(docs, scorer).select(
+        "doc_id", held_out.alias("held_out"), "score", (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -50,10 +70,12 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
     "op5_bottomk_neardup": op5_bottomk_neardup,
     "op6_impact_topk": op6_impact_topk,
     "op7_grammar_chat": op7_grammar_chat,
+    "op8_noisy_channel_toxicity": op8_noisy_channel_toxicity,
     "op9_tree_bpe": op9_tree_bpe,
     "op10_suffix_repeats": op10_suffix_repeats,
 }
