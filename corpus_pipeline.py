@@ -1,14 +1,82 @@
-"""Documents from raw text to training rows: language, duplicates, repeats, leaks, tokens."""
+"""Documents from raw text to training rows: language, near duplicates, repeats, leaks, tokens.
+
+Every stage reads what the one before it wrote. The first four return the columns of documents.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dwellspark.llm import bpe, decontam, langid, neardup, repeats
+from dwellspark.llm.queries import VOCABULARY
+from dwellspark.llm.tables import table
+
+#: Mean probability below which no language is certain enough.
+LEAST_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language; ``lang`` becomes what was recognised.
+
+    The network learns from the labelled documents of the folder. A text without a letter goes, and
+    so does one whose best language has a mean probability below LEAST_SCORE.
+    """
+    net = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    found = langid.identify(langid.filled(docs), net)
+    good = found.filter((F.col("lang_pred") != langid.NO_LANGUAGE) & (F.col("score") >= LEAST_SCORE))
+    return good.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    found = neardup.near_duplicates(docs.select("doc_id", "text"))
+    kept = found.filter("kept").select("doc_id").distinct()
+    # Rows of one id have passed as one document before; a repeated row stays once.
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
 
-STAGES = []
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that repeat; a document of which nothing is left goes."""
+    cut = repeats.remove_repeats(docs).filter(F.length("text") > 0)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the texts that are left."""
+    return bpe.encode_documents(docs, VOCABULARY)
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("benchmark_leaks", benchmark_leaks),
+    ("tokens", tokens),
+]
+
+#: Learned decisions, similarity components and tokens are beyond SQL; the tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written as Parquet and read again."""
+    context = spark.sparkContext
+    from dwellspark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    folder = f"{context.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

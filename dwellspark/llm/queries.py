@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import bpe, chat, langid, neardup, repeats, sharding, topk, toxicity
+from dwellspark.llm import bpe, chat, decontam, extract, langid, neardup, repeats, sharding, topk, toxicity
 from dwellspark.llm.tables import id_bucket, table
 
 #: The vocabulary of the token query.
@@ -25,6 +25,14 @@ def op2_hypergeometric_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_bottomk_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -72,6 +80,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
+    "op3_cgk_decontamination": op3_cgk_decontamination,
+    "op4_tag_path_text": op4_tag_path_text,
     "op5_bottomk_neardup": op5_bottomk_neardup,
     "op6_impact_topk": op6_impact_topk,
     "op7_grammar_chat": op7_grammar_chat,
