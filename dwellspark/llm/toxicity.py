@@ -34,6 +34,8 @@ LOOKALIKE = {
 BETWEEN = ".-_*'~"
 #: Logarithms of the chances of a disguise.
 AS_LETTER, AS_NOTHING, SHORTER, APART = math.log(0.2), math.log(0.005), math.log(0.3), math.log(0.5)
+#: A look-alike between other characters is hardly ever mere decoration.
+INNER = math.log(1e-6)
 #: What a letter adds, about its usual cost, so that short texts have no advantage.
 PER_LETTER = 2.3
 #: Letters of the model: blank, a to z, any other.
@@ -98,14 +100,16 @@ def character_model(docs: DataFrame) -> np.ndarray:
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each run of one character the texts it may stand for, with the cost of each."""
     nodes = []
+    last = len(token)
     for run in re.finditer(r"(.)\1*", token, re.S):
+        inner = 0 < run.start() and run.end() < last
         char, size = run.group(1), len(run.group())
         if char.isalpha():
             options = [(char, 0.0 if size == 1 else SHORTER)]
             if size > 1:
                 options.append((char * 2, 0.0 if size == 2 else SHORTER))
         elif char in LOOKALIKE:
-            options = [(c, AS_LETTER) for c in LOOKALIKE[char]] + [("", AS_NOTHING)]
+            options = [(c, AS_LETTER) for c in LOOKALIKE[char]] + [("", INNER if inner else AS_NOTHING)]
             if size > 1:
                 options += [(c * 2, AS_LETTER) for c in LOOKALIKE[char]]
         else:
