@@ -73,7 +73,8 @@ def walk(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: int, re
 
 
 def signatures(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int, repeat: int) -> np.ndarray:
-    """Sampled places of one walk over ``size`` words, as one number."""
+    """Sampled places of one walk over the first ``size`` words, as one number."""
+    ends = np.minimum(ends, starts + size)
     rng = np.random.default_rng(1000 * size + repeat)
     steps = max(2 * size - 1, 1)
     places = np.sort(rng.choice(steps, min(SAMPLES, steps), replace=False))

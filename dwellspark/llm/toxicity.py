@@ -169,8 +169,11 @@ class Restorer:
             if len(single) == 1 and (single.isalpha() or single in LOOKALIKE):
                 apart.append(single)
                 continue
-            if len(apart) > 2 and sum(c.isalpha() for c in apart) >= 2:
-                out.append(self.word("_".join(apart)))
+            end = len(apart)
+            while end and not apart[end - 1].isalnum():
+                end -= 1
+            if end > 2 and sum(c.isalpha() for c in apart) >= 2:
+                out += [self.word("_".join(apart[:end])), *apart[end:]]
             else:
                 out += apart
             apart = []
