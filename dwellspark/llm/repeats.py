@@ -6,13 +6,17 @@ Every byte that is covered by a string of ``length`` bytes which starts at two p
 bytes by hash, the leftmost of equals. Equal windows name the same anchor, so a window can only repeat
 if its anchor's run of bytes does. An anchor's context is everything that a window around it can
 reach. Where the whole context occurs twice, all windows around the anchor repeat and nothing need be
-sorted. What is left are windows around anchors whose run repeats in another context: these suffixes,
-and one copy of each repeated context beside them, go into the array.
+sorted. What is left are windows around anchors whose run repeats in another context. They begin on
+one of two sides of it: far ahead, or close by. All windows of a side have a core in common, and only
+sides whose core repeats go on, with one copy of each repeated context beside them.
 
-*How they are sorted.* Sampled splitters range-partition the suffixes by their leading tokens (eight
-bytes as a number, then the rest of the string as its hash). Each bucket sorts locally, one key after
-the other, as multikey quicksort does. Equal neighbours repeat. A run of equals may lie in several
-buckets, so the edges of the buckets are compared as well; a hot string is spread, not gathered.
+*How they are sorted.* Sampled splitters range-partition the suffixes by their leading token, the core.
+Each bucket sorts its suffixes locally, one key after the other as multikey quicksort does: those of
+a core by their hash. Equal neighbours repeat. A core may lie in several buckets, so the suffixes of
+the first and last core of each bucket are compared with those of other buckets; a hot string is
+spread, not gathered.
+
+The texts are exchanged once; their two uses after that share the exchange.
 """
 
 from __future__ import annotations
@@ -67,8 +71,25 @@ def scan(data: np.ndarray, length: int) -> Scan | None:
     return Scan(sums, grams, (least & PLACE).astype(np.int64))
 
 
+def side(length: int, number: int) -> tuple[int, int]:
+    """Smallest and largest distance from the start of a window to its anchor on a side."""
+    half = (length - GRAM + 2) // 2
+    return (0, half - 1) if number == 0 else (half, length - GRAM)
+
+
+def cores(sums: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, number: int) -> np.ndarray:
+    """Hash of what all windows of a side have in common; 0 where the text [low, high) is too short."""
+    near, far = side(length, number)
+    starts, ends = at - near, at - far + length
+    out = np.zeros(len(at), np.uint64)
+    good = (starts >= low) & (ends <= high)
+    out[good] = window_hash(sums, starts[good], ends[good]) ^ hashing.MULTIPLIERS[4 + number]
+    return out
+
+
 def _anchors(length: int):
-    schema = pa.schema([("key", pa.int64()), ("pos", pa.int32()), ("gram", pa.int64()), ("context", pa.int64())])
+    names = ["gram", "context", "near", "far", "key", "pos"]
+    schema = pa.schema([(n, pa.int64()) for n in names[:-1]] + [("pos", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,16 +107,16 @@ def _anchors(length: int):
                 if not texts:
                     continue
                 text, at = np.concatenate(texts), np.concatenate(places)
-                low = np.maximum(group.bounds[text], at + GRAM - length)
-                high = np.minimum(group.bounds[text + 1], at + length)
+                first, end = group.bounds[text], group.bounds[text + 1]
+                low, high = np.maximum(first, at + GRAM - length), np.minimum(end, at + length)
                 shape = (at - low).astype(np.uint64) * np.uint64(1 << 32) + (high - at).astype(np.uint64)
                 context = hashing.mix(window_hash(found.sums, low, high) ^ hashing.mix(shape + hashing.MULTIPLIERS[3]))
+                columns = [found.grams[at], context, *(cores(found.sums, at, first, end, length, n) for n in (0, 1))]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        *(pa.array(c.view(np.int64)) for c in columns),
                         pa.array(keys[group.first + text]),
-                        pa.array((at - group.bounds[text]).astype(np.int32)),
-                        pa.array(found.grams[at].view(np.int64)),
-                        pa.array(context.view(np.int64)),
+                        pa.array((at - first).astype(np.int32)),
                     ],
                     schema=schema,
                 )
@@ -104,12 +125,14 @@ def _anchors(length: int):
 
 
 def _suffixes(length: int):
-    schema = pa.schema([("lead", pa.int64()), ("rest", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
+    """For each wanted side of an anchor a row with the hashes of its windows."""
+    schema = pa.schema([("core", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column("places")
-            offsets, flat = wanted.offsets.to_numpy(), wanted.flatten().to_numpy()
+            offsets, flat = wanted.offsets.to_numpy(), wanted.flatten()
+            pos, number, core = (flat.field(n).to_numpy() for n in ("pos", "side", "core"))
             offsets = offsets - offsets[0]
             keys = batch.column("key").to_numpy()
             data, bounds = hashing.buffers(batch.column("text"))
@@ -118,16 +141,21 @@ def _suffixes(length: int):
                 found = scan(text, length)
                 if found is None:
                     continue
-                starts = np.flatnonzero(np.isin(found.anchors, flat[offsets[i] : offsets[i + 1]]))
-                lead = np.lib.stride_tricks.sliding_window_view(text, 8)[starts].copy().view(">u8").ravel()
-                rest = window_hash(found.sums, starts, starts + length)
+                rows = slice(offsets[i], offsets[i + 1])
+                cut, starts = [], []
+                for at, which in zip(pos[rows].tolist(), number[rows].tolist(), strict=True):
+                    near, far = side(length, which)
+                    first = max(0, at - far)
+                    own = first + np.flatnonzero(found.anchors[first : max(first, at - near + 1)] == at)
+                    starts.append(int(own[0]) if len(own) else 0)
+                    cut.append(window_hash(found.sums, own, own + length).tobytes())
+                keep = [j for j, c in enumerate(cut) if c]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        # Order of signed numbers as that of the bytes.
-                        pa.array((lead.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)),
-                        pa.array(rest.view(np.int64)),
-                        pa.array(np.full(len(starts), keys[i])),
-                        pa.array(starts.astype(np.int32)),
+                        pa.array(core[rows][keep]),
+                        pa.array(np.full(len(keep), keys[i])),
+                        pa.array(np.array(starts, np.int32)[keep]),
+                        pa.array([cut[j] for j in keep], pa.binary()),
                     ],
                     schema=schema,
                 )
@@ -135,95 +163,118 @@ def _suffixes(length: int):
     return run
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a sorted bucket: the suffixes equal to a neighbour, and its first and last one."""
-    schema = pa.schema(
-        [("bucket", pa.int32()), ("edge", pa.int32()), ("lead", pa.int64()), ("rest", pa.int64()), ("key", pa.int64()), ("start", pa.int32())]
-    )
+#: A run of repeated starts of a text, or (edge) one suffix of a bucket's first or last core.
+MARKS = pa.schema(
+    [("edge", pa.int32()), ("bucket", pa.int32()), ("core", pa.int64()), ("hash", pa.int64()), ("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]
+)
+
+
+def _compared(columns: list, edges: set[int], bucket: int) -> Iterator[pa.RecordBatch]:
+    """Marks of rows (core, key, start, windows) that hold whole cores of a bucket."""
+    core, key, start, windows = columns
+    counts = np.array([len(w) // 8 for w in windows])
+    hashes = np.frombuffer(b"".join(windows), np.uint64)
+    row = np.repeat(np.arange(len(core)), counts)
+    at = start[row] + np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
+    order = np.lexsort((hashes, core[row]))
+    same = (core[row][order][1:] == core[row][order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
+    twice = np.zeros(len(order), bool)
+    twice[order[1:]] |= same
+    twice[order[:-1]] |= same
+    # Neighbouring starts of a text become one run.
+    hit = np.flatnonzero(twice)
+    begins = np.ones(len(hit), bool)
+    begins[1:] = (row[hit][1:] != row[hit][:-1]) | (hit[1:] != hit[:-1] + 1)
+    ends = np.append(begins[1:], True) if len(hit) else begins
+    low, high = at[hit[begins]], at[hit[ends]]
+    n = len(low)
+    zero = pa.array(np.zeros(n, np.int64))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, bucket, np.int32)), pa.array(low.astype(np.int64)), zero,
+         pa.array(key[row[hit[begins]]]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))],
+        schema=MARKS,
+    )
+    first = np.ones(len(order), bool)
+    first[1:] = ~same
+    some = order[first & np.isin(core[row][order], list(edges))]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(some), np.int32)), pa.array(np.full(len(some), bucket, np.int32)), pa.array(core[row[some]]), pa.array(hashes[some].view(np.int64)),
+         pa.array(key[row[some]]), pa.array(at[some].astype(np.int32)), pa.array(at[some].astype(np.int32))],
+        schema=MARKS,
+    )
+
+
+def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a bucket sorted by core: its marks, core by core."""
     bucket = TaskContext.get().partitionId()
-
-    def rows(columns, edge, keep):
-        picked = [c[keep] for c in columns]
-        n = len(picked[0])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, edge, np.int32)), *(pa.array(c) for c in picked)], schema=schema
-        )
-
-    held = None
+    held, leading = None, None
     for batch in batches:
         if not len(batch):
             continue
-        columns = [batch.column(c).to_numpy() for c in ("lead", "rest", "key", "start")]
-        if held is None:
-            yield rows(columns, 1, np.array([0]))
-        else:
-            columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
-        same = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
-        twice = np.zeros(len(columns[0]), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        # The row carried over may come out again; ranges of a text are merged in the end.
-        yield rows(columns, 0, np.flatnonzero(twice))
-        held = [c[-1:] for c in columns]
+        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("core", "key", "start", "windows")]
+        if held is not None:
+            now = [np.concatenate([h, c]) for h, c in zip(held, now, strict=True)]
+        leading = int(now[0][0]) if leading is None else leading
+        whole = int(np.searchsorted(now[0], now[0][-1], side="left"))
+        if whole:
+            yield from _compared([c[:whole] for c in now], {leading}, bucket)
+        held = [c[whole:] for c in now]
     if held is not None:
-        yield rows(held, 2, np.array([0]))
+        yield from _compared(held, {leading, int(held[0][0])}, bucket)
 
 
 def _repeated_starts(suffixes: DataFrame) -> DataFrame:
-    """``key, low, high`` of suffixes whose first ``length`` bytes occur twice."""
-    order = ["lead", "rest", "key", "start"]
-    sorted_rows = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-    marked = stored(
-        sorted_rows.mapInArrow(_neighbours, "bucket int, edge int, lead long, rest long, key long, start int")
-    )
-    # Two rows per bucket: compared in one small task.
-    line = Window.partitionBy(F.lit(1)).orderBy("bucket", "edge")
-    edges = marked.filter(F.col("edge") > 0)
-    here, before, after = (F.struct("bucket", "lead", "rest"), F.lag(F.struct("bucket", "lead", "rest")).over(line), F.lead(F.struct("bucket", "lead", "rest")).over(line))
-    edges = edges.withColumn("here", here).withColumn("before", before).withColumn("after", after)
-
-    def meets(other: str):
-        same = (F.col(f"{other}.lead") == F.col("lead")) & (F.col(f"{other}.rest") == F.col("rest"))
-        return F.coalesce(same & (F.col(f"{other}.bucket") != F.col("bucket")), F.lit(False))
-
-    crossing = edges.filter(meets("before") | meets("after"))
-    inside = marked.filter(F.col("edge") == 0)
-    return inside.select("key", "start").unionByName(crossing.select("key", "start")).select(
-        "key", F.col("start").alias("low"), F.col("start").alias("high")
-    )
-
-
-def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``key, ranges, copies``: for texts (by key) the first and last starts of repeated strings.
-
-    ``docs`` has ``key`` (a hash of the text), ``doc_id`` and ``text``. ``copies`` is true where
-    several rows have the text; then all of a text of ``length`` bytes or more repeats.
+    """``key, low, high``: runs of starts whose strings of ``length`` bytes occur twice."""
+    order = ["core", "key", "start"]
+    buckets = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    marks = buckets.mapInArrow(_bucket, "edge int, bucket int, core long, hash long, key long, low int, high int")
+    # A bucket gives each suffix of an edge once, so these groups are no larger than the number of
+    # buckets. Runs that are known to repeat pass as groups of their own.
+    group = Window.partitionBy("edge", "core", "hash", F.when(F.col("edge") == 0, F.col("key")))
+    met = marks.withColumn("lo", F.min("bucket").over(group)).withColumn("hi", F.max("bucket").over(group))
+    return met.filter((F.col("edge") == 0) | (F.col("lo") != F.col("hi"))).select("key", "low", "high")
+
+
+def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``row, ranges, copies``: first and last starts of repeated strings.
+
+    ``anchors`` is what ``_anchors`` makes of the texts. ``texts`` has ``row`` (a hash of id and text), ``key`` (a hash of the text) and ``text``. Where
+    several rows have a text, ``copies`` is true: all of it repeats, if it has ``length`` bytes.
     """
-    place = F.struct("key", "pos")
-    rows = docs.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
-    anchors = stored(docs.select("key", "text").mapInArrow(_anchors(length), "key long, pos int, gram long, context long"))
+    rows = texts.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("rows"))
+    twice = F.col("lo") != F.col("hi")
+    place = F.xxhash64("key", "pos")
+    lowest, highest = F.min("place").alias("lo"), F.max("place").alias("hi")
     again = (
-        anchors.groupBy("gram").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter(F.col("lo") != F.col("hi"))
+        anchors.groupBy("gram").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter(twice).select("gram")
+    )
+    shared = stored(anchors.join(again, "gram").drop("gram")).withColumn("place", place)
+    contexts = shared.groupBy("context").agg(lowest, highest)
+    known = shared.join(contexts, "context").withColumn("torn", ~twice)
+    inner = known.filter(twice).select("key", (F.col("pos") + GRAM - length).alias("low"), F.col("pos").alias("high"))
+    sides = (
+        known.filter(F.col("place") == F.col("lo"))
+        .select("key", "place", "pos", "torn", F.posexplode(F.array("near", "far")).alias("side", "core"))
+        .filter(F.col("core") != 0)
     )
-    shared = stored(anchors.join(again.select("gram"), "gram"))
-    contexts = stored(shared.groupBy("gram", "context").agg(F.min(place).alias("lo"), F.max(place).alias("hi")))
-    whole = contexts.filter(F.col("lo") != F.col("hi"))
-    inner = (
-        shared.join(whole.select("gram", "context"), ["gram", "context"])
-        .select("key", (F.col("pos") + GRAM - length).alias("low"), F.col("pos").alias("high"))
-        .distinct()
+    active = sides.groupBy("core").agg(lowest, highest, F.max("torn").alias("some")).filter(twice & F.col("some"))
+    wanted = (
+        sides.join(active.select("core"), "core")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("pos", "side", "core")).alias("places"))
+        .join(rows.select("key", "row"), "key")
     )
-    torn = contexts.filter(F.col("lo") == F.col("hi"))
-    beside = whole.join(torn.select("gram").distinct(), "gram", "left_semi")
-    probes = torn.select("lo.*").unionByName(beside.select("lo.*"))
-    wanted = probes.groupBy("key").agg(F.collect_list("pos").alias("places")).join(rows.select("key", "doc_id"), "key")
-    texts = docs.join(wanted, docs["key"].eqNullSafe(wanted["key"]) & docs["doc_id"].eqNullSafe(wanted["doc_id"])).select(
-        wanted["key"], docs["text"], "places"
+    held = texts.join(wanted.select("row", "places"), "row")
+    suffixes = held.mapInArrow(_suffixes(length), "core long, key long, start int, windows binary")
+    found = inner.unionByName(_repeated_starts(suffixes)).groupBy("key").agg(
+        F.collect_list(F.struct("low", "high")).alias("ranges")
     )
-    suffixes = texts.mapInArrow(_suffixes(length), "lead long, rest long, key long, start int")
-    found = inner.unionByName(_repeated_starts(suffixes))
-    ranges = found.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    return ranges.join(rows.filter(F.col("rows") > 1).select("key", F.lit(True).alias("copies")), "key", "full")
+    single = rows.filter(F.col("rows") == 1).join(found, "key").select("row", "ranges", F.lit(False).alias("copies"))
+    none = F.array().cast("array<struct<low:int,high:int>>")
+    many = (
+        texts.select("key", "row").join(rows.filter(F.col("rows") > 1).select("key"), "key").select("row").distinct()
+    )
+    return single.unionByName(many.select("row", none.alias("ranges"), F.lit(True).alias("copies")))
 
 
 def spans(size: int, ranges: np.ndarray, copies: bool, length: int) -> np.ndarray:
@@ -279,7 +330,7 @@ def _digests(length: int):
     return run
 
 
-def _kept_texts(length: int):
+def _kept_texts(names: list[str], length: int):
     """Texts without their repeated strings; a character of which only a part repeats stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +346,6 @@ def _kept_texts(length: int):
                     ends += [start, max(start, end)]
                 ends.append(len(text))
                 texts.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)).decode("utf-8"))
-            names = [n for n in batch.schema.names if n not in ("key", "ranges", "copies")]
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -304,10 +354,15 @@ def _kept_texts(length: int):
 
 def _with_ranges(docs: DataFrame, length: int) -> DataFrame:
     keyed = docs.withColumn("text", whole_text(F.col("text"))).withColumn("key", F.xxhash64("text"))
-    found = repeated_ranges(keyed.select("key", F.col("doc_id"), "text"), length)
+    anchors = keyed.select("key", "text").mapInArrow(
+        _anchors(length), "gram long, context long, near long, far long, key long, pos int"
+    )
+    # The one exchange of the texts. All columns go along, so that both uses ask for the same.
+    keyed = keyed.withColumn("row", F.xxhash64("doc_id", "key")).repartition("row")
+    found = repeated_ranges(keyed, anchors, length)
     none = F.array().cast("array<struct<low:int,high:int>>")
     return (
-        keyed.join(found, "key", "left")
+        keyed.join(found, "row", "left")
         .withColumn("ranges", F.coalesce("ranges", none))
         .withColumn("copies", F.coalesce("copies", F.lit(False)))
     )
@@ -331,6 +386,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Spans are those of ``repeat_digest``, moved inwards to whole characters. A text that loses all
     is empty; a null text becomes empty.
     """
-    return _with_ranges(docs, length).select(*docs.columns, "key", "ranges", "copies").mapInArrow(
-        _kept_texts(length), docs.schema
-    )
+    return _with_ranges(docs, length).mapInArrow(_kept_texts(docs.columns, length), docs.schema)
