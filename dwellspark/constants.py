@@ -17,11 +17,15 @@ LEADER_WORDS = ("да", "yes", "true", "1")
 TEAM_LEAD_TYPES = ("1",)
 TEAM_DEAL_TYPES = ("2",)
 
-DATE_PATTERNS = ("d.M.yyyy", "d.M.yy", "yyyy-M-d", "d/M/yyyy", "M/d/yyyy")
+DATE_PATTERNS = (
+    "d.M.yyyy", "d.M.yy", "yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "d-M-yyyy", "yyyy.M.d", "yyyy/M/d", "yyyyMMdd",
+    "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+)
 SERIAL_DATE_ORIGIN = "1899-12-30"
+# Day serials outside this range are no dates (up to the end of 2199).
+SERIAL_DATE_RANGE = (1, 109_574)
 
 TAB_NUMBER_WIDTH = 8
-MAX_CELL_CHARS = 32_767
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{d800}-\x{dfff}\x{feff}\x{fffe}\x{ffff}]"
 
 ALL_TERRITORIES = "все тб"

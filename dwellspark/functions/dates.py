@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 from typing import Any
 
@@ -12,7 +13,11 @@ from pyspark.sql import functions as F
 from dwellspark import constants as K
 from dwellspark.functions.text import is_empty, number, strip
 
-_PYTHON_FORMATS = ("%d.%m.%Y", "%d.%m.%y", "%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y")
+_PYTHON_FORMATS = (
+    "%d.%m.%Y", "%d.%m.%y", "%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y", "%d-%m-%Y", "%Y.%m.%d", "%Y/%m/%d", "%Y%m%d",
+    "%d %b %Y", "%d %B %Y", "%b %d, %Y", "%B %d, %Y",
+)
+_TIME = r"([T ]+\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?)$"
 
 
 def parse_date(
@@ -21,16 +26,14 @@ def parse_date(
     origin: str = K.SERIAL_DATE_ORIGIN,
     empty: Sequence[str] = K.EMPTY_DATE,
 ) -> Column:
-    """Date from text: a day serial, or the first pattern that fits; else null."""
+    """Date from text: a day serial in range, or the first pattern that fits; else null."""
     text = strip(c)
     serial = number(text)
-    day = F.split_part(F.split_part(text, F.lit(" "), F.lit(1)), F.lit("T"), F.lit(1))
+    low, high = K.SERIAL_DATE_RANGE
+    day = F.initcap(F.regexp_replace(text, _TIME, ""))
     parsed = F.coalesce(*[_by_pattern(day, p) for p in patterns])
-    return F.when(
-        ~is_empty(c, empty),
-        F.when(serial.isNotNull(), F.date_add(F.lit(origin).cast("date"), F.floor(serial).cast("int")))
-        .otherwise(parsed),
-    )
+    in_range = F.when(serial.between(low, high + 1), F.floor(serial).cast("int"))
+    return F.when(~is_empty(c, empty), F.coalesce(F.date_add(F.lit(origin).cast("date"), in_range), parsed))
 
 
 def _by_pattern(day: Column, pattern: str) -> Column:
@@ -50,11 +53,13 @@ def date_value(value: Any) -> dt.date | None:
     if isinstance(value, dt.date):
         return value
     text = str(value).strip()
+    low, high = K.SERIAL_DATE_RANGE
     try:
-        return dt.date(1899, 12, 30) + dt.timedelta(days=int(float(text)))
-    except (ValueError, OverflowError):
+        if low <= float(text) <= high + 1:
+            return dt.date.fromisoformat(K.SERIAL_DATE_ORIGIN) + dt.timedelta(days=int(float(text)))
+    except ValueError:
         pass
-    day = text.split(" ")[0].split("T")[0]
+    day = re.sub(_TIME, "", text)
     for fmt in _PYTHON_FORMATS:
         try:
             return dt.datetime.strptime(day, fmt).date()

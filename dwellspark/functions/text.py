@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dwellspark import constants as K
 
+# Spellings of numbers in identifiers.
 _SCIENTIFIC = r"^[+-]?\d+\.?\d*[eE][+-]?\d+$"
 _DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -135,27 +136,31 @@ def client_name(
 ) -> Column:
     """Client name with the legal form shortened.
 
-    Longer forms are replaced first, so that a form inside a longer one is left
-    alone. Quotes around a form go, quotes around a name stay.
+    The name is cut once at every place that holds a form, in brackets or quotes of its own or
+    bare, or an abbreviation that is glued to what follows; longer ones are tried first. Each such
+    place is looked up and put back as its abbreviation.
     """
     text = strip(c)
-    name = F.when(text != "", text)
     if not enabled:
-        return name
-    pairs = sorted(((a.strip(), b.strip()) for a, b in forms if a.strip()), key=lambda p: -len(p[0]))
-    short = name
-    for full, abbreviation in pairs:
-        quoted = re.escape(full)
-        wrapped = r"(?iu)[«\"'(\[]\s*" + quoted + r"\.?\s*[»\"')\]]"
-        short = F.regexp_replace(short, wrapped, abbreviation + " ")
-        short = F.regexp_replace(short, r"(?iu)" + quoted + r"\.?", abbreviation + " ")
-    any_form = "(?iu)" + "|".join(re.escape(full) for full, _ in pairs)
-    short = F.when(name.rlike(any_form), short).otherwise(name)
-    short = _tidy(short)
-    glued = "|".join(sorted({re.escape(b) for _, b in pairs}, key=len, reverse=True))
-    short = F.regexp_replace(short, rf"({glued})(?=[A-Za-zА-Яа-яЁё0-9«\"'(\[])", "$1 ")
-    short = _tidy(short)
-    return F.when(short != "", short)
+        return F.when(text != "", text)
+    short = {full.strip().lower(): abbreviation.strip() for full, abbreviation in forms if full.strip()}
+
+    def any_of(names) -> str:
+        return "|".join(re.escape(n) for n in sorted(names, key=lambda n: (-len(n), n)))
+
+    form, glued = f"(?iu:{any_of(short)})", f"(?:{any_of(set(short.values()))})"
+    place = rf"[«\"'(\[]\s*{form}\.?\s*[»\"')\]]|{form}\.?|{glued}(?=[A-Za-zА-Яа-яЁё0-9«\"'(\[])"
+    known = F.create_map(*[F.lit(x) for pair in short.items() for x in pair])
+
+    def abbreviation(found: Column) -> Column:
+        bare = F.lower(F.regexp_extract(found, form, 0))
+        return F.concat(F.coalesce(F.element_at(known, F.nullif(bare, F.lit(""))), found), F.lit(" "))
+
+    between = F.split(text, place, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(place), F.lit(0)), abbreviation)
+    tail = F.array_join(F.transform(F.arrays_zip(between.alias("b"), found.alias("f")), lambda x: F.concat(x["b"], F.coalesce(x["f"], F.lit("")))), "")
+    name = F.when(F.size(found) > 0, _tidy(tail)).otherwise(_tidy(text))
+    return F.when(name != "", name)
 
 
 def _tidy(c: Column) -> Column:

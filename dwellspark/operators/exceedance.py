@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark import constants as K
-from dwellspark.functions.text import client_name, person_name, strip, territory_manager_key, whole_days
+from dwellspark.functions.text import client_name, is_empty, person_name, strip, territory_manager_key, whole_days
 from dwellspark.operators.histogram import percentile_label
 from dwellspark.operators.norms import KEYS, attach
 
@@ -33,23 +33,21 @@ def exceedance(
     days: str = "days_on_stage",
     metric: str = "days_on_stage",
     tb: str = "tb",
-    hint=lambda df: df,
 ) -> DataFrame:
     """Norm, current days, flag and days over the norm for every lead.
 
     The norm of the territory counts, else the overall one. Over the norm means
-    strictly more days. `hint` is applied to the norm lookups, so that a caller
-    who has checked their size can broadcast them.
+    strictly more days.
     """
     overall = thresholds(table, True, percentile, keys, metric).withColumnRenamed("threshold_days", "_all_days")
     out = snapshot
     if scope == "tb_then_overall":
         local = thresholds(table, False, percentile, keys, metric, tb)
         local = local.withColumnRenamed("threshold_days", "_tb_days")
-        out = attach(out, hint(local), [tb, *keys])
+        out = attach(out, local, [tb, *keys])
     else:
         out = out.withColumn("_tb_days", F.lit(None).cast("long"))
-    out = attach(out, hint(overall), keys)
+    out = attach(out, overall, keys)
     current = F.bround(F.col(days).cast("double")) if round_days else F.col(days).cast("double")
     out = out.withColumns({"norm_days": F.coalesce("_tb_days", "_all_days"), "current_days": current})
     over = F.coalesce(F.col("current_days") > F.col("norm_days"), F.lit(False))
@@ -90,16 +88,15 @@ def exceedance_detail(
     keys: Sequence[str] = ("product_group", "product", "stage_key", "analysis_level"),
     metric: str = "days_on_stage",
     need_km: bool = False,
-    hint=lambda df: df,
 ) -> DataFrame:
     """Lead-stage records against the overall norm, on the days as they are."""
     norm = thresholds(table, True, percentile, keys, metric).filter(F.col("threshold_days").isNotNull())
-    joined = attach(records, hint(norm), keys)
+    joined = attach(records, norm, keys)
     joined = joined.withColumn("days_int", F.col(metric).cast("double"))
     over = F.coalesce(F.col("days_int") > F.col("threshold_days"), F.lit(False))
     out = joined.withColumn("exceeded", over)
     if need_km:
-        out = out.filter(strip(F.col("km")) != "")
+        out = out.filter(~is_empty(F.col("km"), K.EMPTY_MANAGER))
     return out.select(*[c for c in DETAIL_FIELDS if c in out.columns])
 
 

@@ -11,8 +11,6 @@ from dwellspark.functions.text import strip, whole_days
 from dwellspark.operators.histogram import percentile_label, percentile_stats
 from dwellspark.operators.norms import attach
 
-MAX_DAYS = 3000
-
 
 def row_keys(include_status: bool) -> list[str]:
     return ["product_group", "product", *(["current_status"] if include_status else [])]
@@ -21,10 +19,10 @@ def row_keys(include_status: bool) -> list[str]:
 def matrix_counts(
     snapshot: DataFrame,
     include_status: bool = False,
-    max_days: int | None = MAX_DAYS,
+    max_days: int | None = None,
     days: str = "days_on_stage",
 ) -> DataFrame:
-    """Leads per row and day. Above `max_days` distinct days the most populated ones stay.
+    """Leads per row and day. With `max_days` only so many of the most populated days stay.
 
     Rows with neither group nor product, and rows without days, are left out.
     """

@@ -74,14 +74,6 @@ def stage_order(
     return known.unionByName(others.select(stage, (place + len(kept)).cast("int").alias("position")))
 
 
-def discover(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Distinct values of a dimension, for a pivot; refuses a column that is no dimension."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values: too wide for columns")
-    return sorted((r[0] for r in rows), key=lambda v: (str(v).lower(), str(v)))
-
-
 def ordered_stages(present: Sequence[str], configured: Sequence[str], excluded: Sequence[str] = ()) -> list[str]:
     out = {s.lower() for s in excluded}
     names = [*configured, *[p for p in present if p not in configured]]
@@ -108,7 +100,7 @@ def pivot_matrix(
 def pivot_cells(flat: DataFrame, keys: Sequence[str] = ("row_key", "metric", "indicator")) -> DataFrame:
     """Cells of a matrix over several territories, with the lead counts of the winning one."""
     cell = F.struct("value", "leads_le", "leads_gt")
-    best = flat.groupBy(*keys, "stage_key").agg(F.max_by(cell, F.struct("value", "leads_le", "tb")).alias("cell"))
+    best = flat.groupBy(*keys, "stage_key").agg(F.max_by(cell, F.struct("value", "leads_le", "tb", "leads_gt")).alias("cell"))
     return best.select(*keys, "stage_key", "cell.*")
 
 
@@ -148,16 +140,13 @@ def status_days(records: DataFrame, order: Sequence[str] = K.STATUS_ORDER) -> Da
 def status_pivot(
     records: DataFrame,
     order: Sequence[str] = K.STATUS_ORDER,
-    others: Sequence[str] | None = (),
+    others: Sequence[str] = (),
 ) -> DataFrame:
-    """Lead x status matrix of whole days: the configured statuses first, then the others.
+    """Lead x status matrix of whole days for the given statuses.
 
-    `others=None` looks the other statuses up in the data.
+    All statuses, known beforehand or not, are in `status_days`.
     """
     days = status_days(records, order)
-    if others is None:
-        known = {s.lower() for s in order}
-        others = [s for s in discover(days, "status") if s.lower() not in known]
     columns = [*order, *others]
     wide = days.groupBy("lead_id").pivot("status", columns).agg(F.max("days"))
     return wide.select("lead_id", *[F.bround(F.col(f"`{c}`")).cast("long").alias(c) for c in columns])

@@ -6,6 +6,7 @@ then an extra group key of whatever follows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
@@ -22,8 +23,6 @@ from dwellspark.operators.filters import (
     keep_expr,
 )
 
-MAX_SWITCHES = 10
-
 
 def slice_key(names: Sequence[str]) -> str:
     return "+".join(sorted(names)) if names else "none"
@@ -38,8 +37,6 @@ def combine(filters: dict[str, dict[str, Any]]) -> list[list[str]]:
     """All combinations of switchable filters without two of one exclusive group."""
     specs = filter_specs(filters)
     names = [n for n, s in specs.items() if s.switchable and s.columns]
-    if len(names) > MAX_SWITCHES:
-        raise ValueError(f"{len(names)} switchable filters give 2^{len(names)} slices; at most {MAX_SWITCHES}")
     out = []
     for size in range(len(names) + 1):
         for combo in combinations(names, size):
@@ -68,11 +65,34 @@ def slices(df: DataFrame, filters: dict[str, dict[str, Any]]) -> DataFrame:
     specs = filter_specs(filters)
     base = config_only_filters(df, filters)
     fixed = [s for s in specs.values() if s.excludes and s.enabled and not s.switchable]
+    combos = combine(filters)
+    switches = list(dict.fromkeys(n for combo in combos for n in combo))
+    if any(s.is_extreme for s in [*fixed, *(specs[n] for n in switches)]):
+        return _by_combination(base, specs, fixed, combos)
+    # Which switches a row passes is one number; what follows from it is looked up per number.
+    bits = {n: 1 << i for i, n in enumerate(switches)}
+    mask = reduce(
+        lambda a, b: a.bitwiseOR(b),
+        (F.when(_passes(base, [specs[n]]), F.lit(bit)).otherwise(F.lit(0)) for n, bit in bits.items()),
+        F.lit(0),
+    )
+    masked = base.filter(_passes(base, fixed)).withColumn("_mask", mask.cast("long"))
+    needs = [{"need": sum(bits[n] for n in c), "slice_key": slice_key(c)} for c in combos]
+    needed = F.from_json(F.lit(json.dumps(needs)), "array<struct<need:bigint,slice_key:string>>")
+    inside = F.filter(needed, lambda n: n["need"].bitwiseAND(F.col("_mask")) == n["need"])
+    keys = masked.select("_mask").distinct().select("_mask", F.inline(inside)).drop("need")
+    return masked.join(keys, "_mask").drop("_mask")
+
+
+def _by_combination(
+    base: DataFrame, specs: dict[str, FilterSpec], fixed: Sequence[FilterSpec], combos: Sequence[Sequence[str]]
+) -> DataFrame:
+    """The same where an extreme depends on the filters before it."""
     tags = []
-    for combo in combine(filters):
+    for combo in combos:
         # Includes cut the rows before the excludes see them, each on the remainder.
         members = [specs[n] for n in combo if not specs[n].excludes] + sorted(
-            [specs[n] for n in combo if specs[n].excludes] + fixed, key=lambda s: s.name
+            [specs[n] for n in combo if specs[n].excludes] + list(fixed), key=lambda s: s.name
         )
         tags.append(F.when(_passes(base, members), F.lit(slice_key(combo))))
     keys = F.array_compact(F.array(*tags))

@@ -92,6 +92,10 @@ def _level_records(df, level, group_only, agg, seq, tags) -> DataFrame:
     return out.withColumn("product", F.lit(K.GROUP_ONLY_PRODUCT)) if group_only else out
 
 
+#: Names of the levels of analysis.
+LEVELS = {"status": ("status",), "substages": ("substage",), "substage": ("substage",), "both": ("status", "substage")}
+
+
 def lead_stage_records(
     df: DataFrame,
     level: str = "status",
@@ -102,11 +106,13 @@ def lead_stage_records(
 ) -> DataFrame:
     """One record per lead, product, territory and stage.
 
-    `level` is status, substage or both; `tags` are further keys such as `slice_key`.
-    Records without days stay.
+    `level` is status, substages (or substage) or both; `tags` are further keys such as
+    `slice_key`. Records without days stay.
     """
     group_only = product_mode == "group_only"
-    levels = ("status", "substage") if level == "both" else (level,)
+    if level not in LEVELS:
+        raise ValueError(f"unknown level {level!r}; known: {sorted(LEVELS)}")
+    levels = LEVELS[level]
     parts = [_level_records(df, lv, group_only, dedup_agg, seq, list(tags)) for lv in levels]
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from dwellspark.operators.teams import contact_lookup
 from dwellspark.plans.registry import cte
-from dwellspark.session import spread
 
 
 # Declared, so that no job has to look into the files first.
@@ -30,28 +29,19 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
-# Tables that grow with the data, and columns that tell their rows apart.
-FACTS = {
-    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-    "orders": ("o_orderkey",),
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = _dimension(spark, sf_dir, name)
-    return spread(df, *FACTS[name]) if name in FACTS else df
+    return _dimension(spark, sf_dir, name)
 
 
 def _dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Order of the rows: by order and line; lines that repeat differ in the last nine digits.
+# Order of the rows: by order and line; lines that repeat differ in the last six digits. A long holds
+# order keys up to 900 thousand million.
 _SEQ = (
-    "(l_orderkey * 10 + l_linenumber) * 1000000000 "
-    "+ (l_partkey * 31 + l_suppkey * 17 + cast(round(l_extendedprice * 100) as bigint)) % 1000000000"
+    "(l_orderkey * 10 + l_linenumber) * 1000000 "
+    "+ (l_partkey * 31 + l_suppkey * 17 + cast(round(l_extendedprice * 100) as bigint)) % 1000000"
 )
 _LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 

@@ -175,7 +175,7 @@ def q_funnel_extreme(spark, sf):
 
 @query(
     "q_terminal_rows",
-    f"SELECT line_key, lead_id FROM sr WHERE {STEPS_SQL['exclude_terminal']} AND {STEPS_SQL['exclude_status']}",
+    f"SELECT line_key, lead_id FROM sr WHERE {STEPS_SQL['no_unspecified']} AND {STEPS_SQL['no_returns']}",
 )
 def q_terminal_rows(spark, sf):
     df = stage_reports(spark, sf, "line_key", "lead_id", "deal_stage", "current_status")
@@ -194,7 +194,7 @@ def q_config_only(spark, sf):
 )
 def q_filter_subset(spark, sf):
     df = stage_reports(spark, sf, "line_key", "label", "report_date", "deal_stage")
-    return filter_subset(df, FILTERS, ["label_ring", "recent", "exclude_terminal"]).select("line_key", "label")
+    return filter_subset(df, FILTERS, ["spring_parts", "from_1998", "no_unspecified"]).select("line_key", "label")
 
 
 @query("q_latest_snapshot", "SELECT seq FROM er WHERE report_date = (SELECT max(report_date) FROM er)")
@@ -239,15 +239,15 @@ def q_rank_selection(spark, sf):
 # --- slices -------------------------------------------------------------------
 
 SWITCHES = {
-    n: f for n, f in FILTERS.items() if n in ("change_conditions", "exclude_terminal", "label_red", "label_ring", "recent")
+    n: f for n, f in FILTERS.items() if n in ("even_lines", "no_unspecified", "red_parts", "spring_parts", "from_1998")
 }
 _SWITCH_SQL = {
-    "label_red": "label LIKE '%red%'",
-    "label_ring": "(label LIKE '%ring%' AND label LIKE '%e%')",
-    "recent": "report_date >= DATE '1998-01-01'",
+    "red_parts": "label LIKE '%red%'",
+    "spring_parts": "(label LIKE '%ring%' AND label LIKE '%e%')",
+    "from_1998": "report_date >= DATE '1998-01-01'",
 }
-_COMBOS = [[], ["label_red"], ["label_ring"], ["recent"], ["label_red", "recent"], ["label_ring", "recent"]]
-_FIXED = f"change_conditions = 0 AND {STEPS_SQL['exclude_terminal']}"
+_COMBOS = [[], ["red_parts"], ["spring_parts"], ["from_1998"], ["red_parts", "from_1998"], ["spring_parts", "from_1998"]]
+_FIXED = f"change_conditions = 0 AND {STEPS_SQL['no_unspecified']}"
 
 cte(
     "sl",
@@ -270,7 +270,7 @@ def q_filter_slices(spark, sf):
 @query(
     "q_slice_catalog",
     """SELECT slice_key, cast(CASE slice_key WHEN 'none' THEN 0 ELSE 1 + (slice_key LIKE '%+%')::int END AS integer) AS filter_count,
-       slice_key = 'recent' AS is_default, count(*) AS report_rows FROM sl GROUP BY slice_key""",
+       slice_key = 'from_1998' AS is_default, count(*) AS report_rows FROM sl GROUP BY slice_key""",
 )
 def q_slice_catalog(spark, sf):
     counts = q_filter_slices(spark, sf).groupBy("slice_key").agg(F.count(F.lit(1)).alias("report_rows"))
@@ -299,7 +299,7 @@ cte(
 FUNNEL_SQL = " UNION ALL ".join(
     f"""SELECT cast({i + 1} AS integer) AS step, '{n}' AS filter_name,
         '{FILTERS[n].get("description", n)}' AS description,
-        '{"exclude" if n.startswith("exclude") else "filter"}' AS kind,
+        '{"exclude" if FILTERS[n].get("action") == "exclude" else "filter"}' AS kind,
         r{i} AS before_rows, r{i + 1} AS after_rows, r{i} - r{i + 1} AS dropped_rows,
         l{i} AS before_leads, l{i + 1} AS after_leads, l{i} - l{i + 1} AS dropped_leads FROM fu"""
     for i, n in enumerate(ORDER)
@@ -329,14 +329,14 @@ def q_group_funnel(spark, sf):
 
 
 _CATALOG_ROWS = [
-    ("change_conditions", "yes", "include", "equals", "change_conditions", "0", "any", "number"),
-    ("efs_flag", "yes", "include", "equals", "efs_flag", "1", "any", "number"),
-    ("exclude_terminal", "yes", "exclude", "contains", "deal_stage", "4-not", "any", "string"),
-    ("data_entry", "yes", "include", "equals", "data_entry", "0, 1", "any", "number"),
-    ("exclude_status", "yes", "exclude", "equals", "current_status", "ro", "any", "string"),
-    ("label_red", "no", "include", "contains", "label", "Red", "any", "string"),
-    ("label_ring", "no", "include", "contains", "label", "ring, e", "all", "string"),
-    ("recent", "no", "include", "gte", "report_date", "01.01.1998", "any", "date"),
+    ("even_lines", "yes", "include", "equals", "change_conditions", "0", "any", "number"),
+    ("open_orders", "yes", "include", "gte", "efs_flag", "1", "any", "number"),
+    ("no_unspecified", "yes", "exclude", "contains", "deal_stage", "4-not", "any", "string"),
+    ("first_two_thirds", "yes", "include", "lt", "data_entry", "2", "any", "number"),
+    ("no_returns", "yes", "exclude", "equals", "current_status", "ro", "any", "string"),
+    ("from_1998", "no", "include", "gte", "report_date", "1998-01-01", "any", "date"),
+    ("spring_parts", "no", "include", "contains", "label", "ring, e", "all", "string"),
+    ("red_parts", "no", "include", "contains", "label", "Red", "any", "string"),
 ]
 _CATALOG_SQL = " UNION ALL ".join(
     f"SELECT cast({i} AS integer) AS position, "

@@ -18,7 +18,7 @@ from dwellspark.plans.queries_filters import FUNNEL_COLUMNS, SWITCHES
 from dwellspark.plans.queries_tracking import best_sql, daily_sql, slice_records
 from dwellspark.plans.registry import cte, query
 from dwellspark.plans.settings import CLIP_RULES, FILTERS, KEYS, METRICS, ORDER, STEPS_SQL, UNIQUE_RULE
-from dwellspark.session import broadcast_if_small, materialise
+from dwellspark.session import materialise
 from dwellspark.sources.sinks import slice_manifest
 
 PERCENTILES = (20, 50, 80)
@@ -367,7 +367,7 @@ def q_slice_norms(spark, sf):
     "q_slice_manifest",
     """SELECT slice_key, cast(CASE slice_key WHEN 'none' THEN 0 ELSE 1 + (slice_key LIKE '%+%')::int END AS integer) AS filter_count,
        CASE slice_key WHEN 'none' THEN '' ELSE replace(slice_key, '+', ' + ') END AS active_filters,
-       slice_key = 'recent' AS is_default, count(*) AS record_count FROM sl_rec GROUP BY slice_key""",
+       slice_key = 'from_1998' AS is_default, count(*) AS record_count FROM sl_rec GROUP BY slice_key""",
 )
 def q_slice_manifest(spark, sf):
     return slice_manifest(slice_records(spark, sf), slice_catalog(spark, SWITCHES))
@@ -404,7 +404,7 @@ def run_snapshot(spark, sf):
 def run_exceedance(spark, sf):
     """Snapshot against the norms; the norms are written once and their size is checked."""
     table = materialise(run_norms(spark, sf, km=None))
-    return exceedance(run_snapshot(spark, sf), table, hint=broadcast_if_small)
+    return exceedance(run_snapshot(spark, sf), table)
 
 
 @query(

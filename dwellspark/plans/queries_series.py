@@ -234,10 +234,10 @@ def q_pivot_all(spark, sf):
     "q_pivot_multi_tb",
     """SELECT row_key, metric, indicator, stage_key, value, leads_le, leads_gt FROM
        (SELECT *, row_number() OVER (PARTITION BY row_key, metric, indicator, stage_key ORDER BY value DESC, leads_le DESC, tb DESC, leads_gt DESC) AS rn
-        FROM pf WHERE tb IN ('ASIA', 'EUROPE') AND product_group = 'SMALL') WHERE rn = 1""",
+        FROM pf WHERE tb IN ('ASIA', 'EUROPE')) WHERE rn = 1""",
 )
 def q_pivot_multi_tb(spark, sf):
-    chosen = flat(spark, sf).filter(F.col("tb").isin("ASIA", "EUROPE") & (F.col("product_group") == "SMALL"))
+    chosen = flat(spark, sf).filter(F.col("tb").isin("ASIA", "EUROPE"))
     return P.pivot_cells(chosen)
 
 

@@ -24,7 +24,7 @@ from dwellspark.plans.registry import cte, query
 from dwellspark.session import ensure_checkpoint_dir
 from dwellspark.sources.reports import load_reports, normalize_reports, project_required, with_category
 from dwellspark.sources.rosters import load_team
-from dwellspark.sources.sinks import partition_counts, write_csv
+from dwellspark.sources.sinks import partition_counts, write_csv, write_split, write_table
 
 LINE_HEADERS = {
     "lead_id": " L_ORDERKEY",
@@ -200,14 +200,45 @@ def q_contact_lookup(spark, sf):
     return contact_lookup(directory)
 
 
-@query("q_sink_csv", "SELECT tb, count(*) AS file_rows, count(deal_id) AS deals FROM sr GROUP BY tb")
-def q_sink_csv(spark, sf):
+def _scratch(spark, name):
     ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/csv-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query("q_sink_csv", "SELECT lead_id, deal_id, report_date, tb, days_on_stage FROM sr")
+def q_sink_csv(spark, sf):
+    path = _scratch(spark, "csv")
     rows = stage_reports(spark, sf, "lead_id", "deal_id", "report_date", "tb", "days_on_stage")
     write_csv(rows, path, row_limit=20_000)
-    back = spark.read.option("sep", ";").option("header", True).schema(rows.schema).csv(path)
-    return back.groupBy("tb").agg(F.count(F.lit(1)).alias("file_rows"), F.count("deal_id").alias("deals"))
+    return spark.read.option("sep", ";").option("header", True).schema(rows.schema).csv(path)
+
+
+@query("q_sink_csv_long_text", "SELECT doc_id, CASE WHEN text = '' THEN NULL ELSE text END AS text FROM documents")
+def q_sink_csv_long_text(spark, sf):
+    """Whole texts through a CSV file; line breaks inside quotes are read back."""
+    path = _scratch(spark, "csv-text")
+    docs = table(spark, sf, "documents").select("doc_id", F.translate("text", "\\\"\r", "").alias("text"))
+    write_csv(docs, path)
+    options = {"sep": ";", "header": True, "multiLine": True, "maxCharsPerColumn": -1}
+    return spark.read.options(**options).schema("doc_id long, text string").csv(path)
+
+
+@query(
+    "q_json_nested_safe",
+    """SELECT event_id, [CASE WHEN event_id % 9 IN (0, 1) THEN NULL ELSE value END, 1.5] AS list,
+       CASE WHEN event_id % 9 IN (0, 1) THEN NULL ELSE value END AS inner_value FROM events""",
+)
+def q_json_nested_safe(spark, sf):
+    """Numbers inside arrays and structs, written as JSON and read again."""
+    turn = F.col("event_id") % 9
+    value = F.when(turn == 0, F.lit(float("nan"))).when(turn == 1, F.lit(float("-inf"))).otherwise(F.col("value"))
+    rows = table(spark, sf, "events").select(
+        "event_id", F.array(value, F.lit(1.5)).alias("list"), F.array(F.struct(value.alias("x"))).alias("records")
+    )
+    path = _scratch(spark, "json")
+    write_table(rows, path, "json")
+    back = spark.read.schema(rows.schema).json(path)
+    return back.select("event_id", "list", F.col("records")[0]["x"].alias("inner_value"))
 
 
 @query(
@@ -215,7 +246,9 @@ def q_sink_csv(spark, sf):
     "SELECT tb AS part, cast(count(*) AS bigint) AS out_rows FROM sr GROUP BY tb",
 )
 def q_partition_counts(spark, sf):
-    return partition_counts(stage_reports(spark, sf, "tb"), threshold=1000)
+    path = _scratch(spark, "split")
+    write_split(stage_reports(spark, sf, "lead_id", "tb"), path)
+    return partition_counts(spark.read.parquet(path))
 
 
 @query(
@@ -231,7 +264,7 @@ def q_json_safe(spark, sf):
 @query(
     "q_sanitize_text",
     """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE
-       left(regexp_replace(chr(7) || text || chr(1), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), 32767) END AS text
+       regexp_replace(chr(7) || text || chr(1), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g') END AS text
        FROM documents""",
 )
 def q_sanitize_text(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dwellspark.operators.pivots import attach_status_days, status_pivot
+from dwellspark.operators.pivots import attach_status_days, status_days, status_pivot
 from dwellspark.operators.quality import lead_coverage, missing_days
 from dwellspark.operators.slices import slices
 from dwellspark.operators.snapshot import FIELDS, lead_snapshot, snapshot_export
@@ -167,6 +167,16 @@ def q_status_pivot(spark, sf):
     return status_pivot(lead_stage_records(event_reports(spark, sf)), _STATUSES)
 
 
+@query(
+    "q_status_days",
+    """SELECT lead_id, current_status AS status, max(days_on_stage) AS days
+       FROM er_rec WHERE days_on_stage IS NOT NULL GROUP BY lead_id, current_status""",
+)
+def q_status_days(spark, sf):
+    """Statuses of the data, known beforehand or not, in long form."""
+    return status_days(lead_stage_records(event_reports(spark, sf)), ())
+
+
 @query(
     "q_status_pivot_found",
     """SELECT lead_id, cast(round_even(max(days_on_stage) FILTER (WHERE current_status = 'click'), 0) AS bigint) AS "click",
@@ -174,9 +184,9 @@ def q_status_pivot(spark, sf):
        FROM er_rec WHERE days_on_stage IS NOT NULL GROUP BY lead_id""",
 )
 def q_status_pivot_found(spark, sf):
-    wide = status_pivot(lead_stage_records(event_reports(spark, sf)), (), None)
-    found = [c for c in wide.columns if c != "lead_id"]
-    return wide.select("lead_id", F.col("click"), F.greatest(*[F.col(f"`{c}`") for c in found]).alias("longest"))
+    records = lead_stage_records(event_reports(spark, sf))
+    longest = status_days(records, ()).groupBy("lead_id").agg(F.bround(F.max("days")).cast("long").alias("longest"))
+    return longest.join(status_pivot(records, (), ("click",)), "lead_id").select("lead_id", "click", "longest")
 
 
 cte(

@@ -47,8 +47,8 @@ from dwellspark.operators.teams import (
     split_team,
 )
 from dwellspark.operators.tracking import add_durations, lead_stage_records, manager_records
-from dwellspark.session import broadcast_if_small, materialise
-from dwellspark.sources.sinks import slice_manifest, write_csv, write_slices, write_split
+from dwellspark.session import materialise
+from dwellspark.sources.sinks import slice_manifest, write_slices, write_table
 
 RECORD = ("lead_id", "product_group", "product", "tb", "stage_key", "analysis_level")
 SPOT = ("product_group", "product", "stage_key", "analysis_level")
@@ -76,14 +76,14 @@ DEFAULTS: dict[str, Any] = {
         ("duration_matrix_by_status", "by_volume", True),
         ("duration_matrix_by_group_status", "group_alpha_product_volume", True),
     ),
-    "max_day_span": X.MAX_DAYS,
+    "max_day_span": None,
     "latest_only": True,
     "rank_by_team": True,
     "rank_selection": {},
     "top_managers": 3,
     "top_hotspots": 5,
     "top_stuck_items": 15,
-    "max_distribution_points": 800,
+    "max_distribution_points": None,
 }
 
 
@@ -143,10 +143,7 @@ def report(
 
     @cache
     def snapshot() -> DataFrame:
-        known = exceedance(
-            lead_snapshot(rows()), norm_table(), s["exceedance_percentile"], hint=broadcast_if_small
-        )
-        return materialise(known)
+        return materialise(exceedance(lead_snapshot(rows()), norm_table(), s["exceedance_percentile"]))
 
     @cache
     def entries() -> DataFrame:
@@ -159,7 +156,7 @@ def report(
         return df if contacts is None else attach_contacts(df, contacts)
 
     def snapshot_sheet() -> DataFrame:
-        wide = P.status_pivot(records(), s["status_order"], None)
+        wide = P.status_pivot(records(), s["status_order"])
         status = [c for c in wide.columns if c != "lead_id"]
         return snapshot_export(with_people(P.attach_status_days(snapshot(), wide)), status_columns=status)
 
@@ -169,6 +166,7 @@ def report(
 
     builders = {
         "snapshot": snapshot_sheet,
+        "status_days": lambda: P.status_days(records(), s["status_order"]),
         "norms": lambda: norms_export(audited_norms(), s["metrics"], s["percentiles"]),
         "funnel": lambda: funnel(raw, filters, order),
         "filter_catalog": lambda: filter_catalog(raw, filters, order),
@@ -227,13 +225,15 @@ def dashboard(
     out = {
         "manifest": slice_manifest(sliced, slice_catalog(raw.sparkSession, filters)),
         "pivot_flat": flat,
-        "distribution": H.downsample(hist, keys, s["max_distribution_points"]),
+        "distribution": H.distribution(hist, keys),
         "series_summary": H.percentile_stats(hist, keys, s["percentiles"], "days"),
         "stage_order": P.stage_order(sliced, s["stages_order"], excluded_stages(filters)),
         "dimensions": P.dimensions(raw),
         "product_pairs": P.product_pairs(raw),
         "stage_map": P.stage_map(raw),
     }
+    if s["max_distribution_points"]:
+        out["distribution_points"] = H.downsample(hist, keys, s["max_distribution_points"])
     out.update(manager_analytics(raw, s, team))
     return out
 
@@ -252,7 +252,8 @@ def manager_analytics(raw: DataFrame, s: dict[str, Any], team: DataFrame | None)
     )
     latest = manager_records(rows, s["latest_only"], **options)
     detail = materialise(
-        exceedance_detail(latest, materialise(table), s["exceedance_percentile"], hint=broadcast_if_small)
+        # Without teams the ranking is by manager, so records without one have no place in it.
+        exceedance_detail(latest, materialise(table), s["exceedance_percentile"], need_km=not s["rank_by_team"])
     )
     totals, facts = M.manager_totals(detail), M.km_facts(detail)
     pool = rank_pool(detail, **s["rank_selection"])
@@ -282,20 +283,16 @@ def manager_analytics(raw: DataFrame, s: dict[str, Any], team: DataFrame | None)
 
 def write(
     tables: dict[str, DataFrame], path: str, fmt: str = "parquet", row_limit: int = 900_000,
-    split_threshold: int = 1_000_000,
+    split_by: str | None = None, sep: str = ";",
 ) -> None:
-    """Write the tables of a run, each into its own folder.
+    """Write the tables of a run, each into its own folder, in the format asked for.
 
-    A long filtered export gets one folder per territory; CSV files end at `row_limit` rows.
+    With `split_by` the filtered export gets one folder per value of that column; files end at
+    `row_limit` rows.
     """
     for name, df in tables.items():
-        target = f"{path}/{name}"
-        if name == "filtered_export" and "tb" in df.columns:
-            write_split(df, target, "tb", split_threshold, "parquet" if fmt == "csv" else fmt, row_limit)
-        elif fmt == "csv":
-            write_csv(df, target, row_limit=row_limit)
-        else:
-            df.write.mode("overwrite").format(fmt).save(target)
+        by = split_by if name == "filtered_export" and split_by in df.columns else None
+        write_table(df, f"{path}/{name}", fmt, by, row_limit, sep)
 
 
 def write_dashboard(tables: dict[str, DataFrame], path: str, split: bool = True) -> None:

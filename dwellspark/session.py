@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -53,24 +52,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write the rows once to reliable storage and read them from there afterwards."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when a scan has fewer splits than there are cores.
-
-    A small file is one split, so one task would do all the work up to the first
-    shuffle. A large table has many splits and stays as it is. `keys` should
-    identify a row, so that no value is hot.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint only when a bounded count proves the rows few; else a plain join.
-
-    Counting runs the plan, so pass a materialised frame.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwellspark import constants as K
 from dwellspark.functions.dates import parse_date
 from dwellspark.functions.text import double_id, number, source_category, strip, text_id
-from dwellspark.session import spread
 
 # Canonical columns of a stage report. A file maps its own headers onto them.
 REPORT_SCHEMA = {
@@ -94,15 +94,16 @@ def read_files(
         reader = reader.schema(schema)
     df = reader.load(list(paths))
     name = F.col("_metadata.file_name").alias("source_file")
-    # A number instead of the name: the order goes through every later aggregation.
-    file = F.xxhash64("_metadata.file_path").alias("file")
+    # Names before paths, so moving a folder changes no order; hashes, because the order goes
+    # through every later aggregation.
+    file = F.struct(F.xxhash64("_metadata.file_name").alias("name"), F.xxhash64("_metadata.file_path").alias("path")).alias("file")
     if fmt == "parquet":
         place = F.struct(file, F.col("_metadata.row_index").alias("line"))
     else:
         place = F.struct(
             file, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
         )
-    return spread(df.select("*", name, place.alias("seq")), "seq")
+    return df.select("*", name, place.alias("seq"))
 
 
 def load_reports(
@@ -126,15 +127,20 @@ def load_reports(
     return out
 
 
-def normalize_reports(df: DataFrame) -> DataFrame:
-    """Types of a stage report: dates, numbers, flags, trimmed text, identifiers as text."""
+def normalize_reports(
+    df: DataFrame, dates: Sequence[str] = K.DATE_PATTERNS, empty_tokens: Sequence[str] = K.EMPTY_DATE
+) -> DataFrame:
+    """Types of a stage report: dates, numbers, flags, trimmed text, identifiers as text.
+
+    `dates` are the date patterns in order, `empty_tokens` the texts that stand for no date.
+    """
     out = []
     for field in df.schema.fields:
         c, dtype = F.col(field.name), field.dataType
         kind = REPORT_SCHEMA.get(field.name)
         if kind == "date":
             dated = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
-            c = c.cast("date") if dated else parse_date(c)
+            c = c.cast("date") if dated else parse_date(c, dates, empty=empty_tokens)
         elif kind == "number":
             c = number(c) if not isinstance(dtype, T.NumericType) else number(c.cast("double"))
         elif kind == "flag":

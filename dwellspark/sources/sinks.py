@@ -8,41 +8,42 @@ from pyspark.sql import functions as F
 from dwellspark.functions.output import json_safe, sanitize
 
 ROW_LIMIT = 900_000
-SPLIT_THRESHOLD = 1_000_000
+
+
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", by: str | None = None, row_limit: int = ROW_LIMIT,
+    sep: str = ";", mode: str = "overwrite",
+) -> None:
+    """A table in the format asked for, at most `row_limit` rows per file; `by` gives a folder per value.
+
+    CSV has a header and clean values; JSON has no NaN.
+    """
+    clean = {"csv": sanitize, "json": json_safe}.get(fmt, lambda x: x)(df)
+    writer = clean.write.mode(mode).option("maxRecordsPerFile", row_limit)
+    if by is not None:
+        writer = writer.partitionBy(by)
+    if fmt == "csv":
+        writer = writer.option("sep", sep).option("header", True)
+    writer.format(fmt).save(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", row_limit: int = ROW_LIMIT, mode: str = "overwrite") -> None:
-    """Delimited text with a header, at most `row_limit` rows per file."""
-    (
-        sanitize(df)
-        .write.mode(mode)
-        .option("sep", sep)
-        .option("header", True)
-        .option("maxRecordsPerFile", row_limit)
-        .csv(path)
-    )
-
-
-def partition_counts(df: DataFrame, by: str = "tb", threshold: int = SPLIT_THRESHOLD) -> DataFrame:
-    """Rows per output of a table that is split by territory once it is longer than `threshold`."""
-    per = df.groupBy(by).agg(F.count(F.lit(1)).alias("out_rows"))
-    total = per.agg(F.coalesce(F.sum("out_rows"), F.lit(0))).scalar()
-    tagged = per.withColumn("split", total > threshold)
-    part = F.when(F.col("split"), F.coalesce(F.col(by).cast("string"), F.lit("_"))).otherwise(F.lit("all"))
-    return tagged.groupBy(part.alias("part")).agg(F.sum("out_rows").alias("out_rows"))
+    """Delimited text with a header."""
+    write_table(df, path, "csv", None, row_limit, sep, mode)
 
 
 def write_split(
-    df: DataFrame, path: str, by: str = "tb", threshold: int = SPLIT_THRESHOLD, fmt: str = "parquet",
-    row_limit: int = ROW_LIMIT, mode: str = "overwrite",
-) -> bool:
-    """One folder per territory when the table has more rows than `threshold`."""
-    split = df.limit(threshold + 1).count() > threshold
-    writer = df.write.mode(mode).option("maxRecordsPerFile", row_limit)
-    if split:
-        writer = writer.partitionBy(by)
-    writer.format(fmt).save(path)
-    return split
+    df: DataFrame, path: str, by: str = "tb", fmt: str = "parquet", row_limit: int = ROW_LIMIT,
+    mode: str = "overwrite",
+) -> None:
+    """One folder per territory."""
+    write_table(df, path, fmt, by, row_limit, ";", mode)
+
+
+def partition_counts(written: DataFrame, by: str = "tb") -> DataFrame:
+    """Rows per folder of a table that was written by territory and read back."""
+    part = F.coalesce(F.col(by).cast("string"), F.lit("_"))
+    return written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("out_rows"))
 
 
 def write_slices(

@@ -89,9 +89,17 @@ def test_category(column):
     assert got == ["FOR SALE", "IN WORK", "UNKNOWN"]
 
 
+def test_more_date_forms(column):
+    values = ["05-01-2024", "2024.01.05", "20240105", "5 Jan 2024", "5 january 2024", "Jan 5, 2024", "2024-01-05T10:00:00Z", "99999999", "-5", "0"]
+    d = dt.date(2024, 1, 5)
+    want = [d] * 7 + [None] * 3
+    assert column(values, parse_date) == want
+    assert [date_value(v) for v in values] == want
+
+
 def test_safe_values(spark, column):
     assert column(["a\x07b\tc", "nan", "NaT", None, "x" * 40_000], safe_text) == [
-        "ab\tc", None, None, None, "x" * 32_767
+        "ab\tc", None, None, None, "x" * 40_000
     ]
     df = spark.createDataFrame([(float("nan"), 1), (float("-inf"), 2), (1.5, 3)], "a double, b int")
     assert [tuple(r) for r in json_safe(df).collect()] == [(None, 1), (None, 2), (1.5, 3)]

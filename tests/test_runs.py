@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from dwellspark.plans.catalog import ORACLE, QUERIES
 from dwellspark.plans.fixtures import contacts, stage_reports, team_members
+from dwellspark.functions.output import json_safe
+from dwellspark.operators.slices import slices
+from dwellspark.operators.tracking import lead_stage_records
 from dwellspark.plans.report import dashboard, report, write, write_dashboard
 from dwellspark.plans.settings import CLIP_RULES, FILTERS, ORDER
-from dwellspark.session import broadcast_if_small
 from dwellspark.sources.rosters import load_contacts
 from dwellspark.sources.sinks import write_csv, write_split
 
@@ -39,11 +41,11 @@ def test_dashboard_run(spark, tmp_path):
     spec = {**SPEC, "latest_only": False, "rank_selection": {"label_mode": "all", "efs_flag": 1}, "max_distribution_points": 5}
     tables = dashboard(stage_reports(spark, SF), spec, team=team_members(spark, SF))
     assert rows(tables["manifest"], "slice_key") == [
-        (k,) for k in ("label_red", "label_red+recent", "label_ring", "label_ring+recent", "none", "recent")
+        (k,) for k in ("from_1998", "from_1998+red_parts", "from_1998+spring_parts", "none", "red_parts", "spring_parts")
     ]
     chosen = {k: tables[k] for k in ("manifest", "pivot_flat", "distribution", "km_by_tb", "top_managers")}
     write_dashboard(chosen, str(tmp_path))
-    assert {"slice_key=none", "slice_key=recent"} <= set(os.listdir(tmp_path / "pivot/slices"))
+    assert {"slice_key=none", "slice_key=from_1998"} <= set(os.listdir(tmp_path / "pivot/slices"))
     back = spark.read.json(str(tmp_path / "pivot/slices"))
     assert back.filter("slice_key = 'none'").count() == tables["pivot_flat"].filter("slice_key = 'none'").count()
     top = spark.read.json(str(tmp_path / "top_managers"))
@@ -56,7 +58,7 @@ def test_csv_and_split(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "c") if f.startswith("part")]
     back = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "c"))
     assert len(files) == 3 and back.count() == 100 and back.first().t == "a;b"
-    assert write_split(df, str(tmp_path / "s"), threshold=50) and not write_split(df, str(tmp_path / "w"), threshold=100)
+    write_split(df, str(tmp_path / "s"))
     assert {"tb=0", "tb=1", "tb=2"} <= set(os.listdir(tmp_path / "s"))
 
 
@@ -66,11 +68,34 @@ def test_contact_file(spark, tmp_path):
     assert rows(load_contacts(spark, [str(path)])) == [("00000012", "a@x", "s@x")]
 
 
-def test_broadcast_only_what_is_small(spark):
-    small, large = spark.range(10), spark.range(1000)
-    assert "strategy=broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString()
-    plan = large.join(broadcast_if_small(large.withColumnRenamed("id", "x"), 100), F.col("id") == F.col("x"))
-    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+def test_csv_keeps_long_texts_and_the_format_asked_for(spark, tmp_path):
+    df = spark.createDataFrame([("A", "x" * 100_000), ("B", "y")], "tb string, t string")
+    write({"filtered_export": df}, str(tmp_path), fmt="csv", split_by="tb")
+    back = spark.read.options(sep=";", header=True, maxCharsPerColumn=-1).csv(str(tmp_path / "filtered_export"))
+    assert {(r.tb, len(r.t)) for r in back.collect()} == {("A", 100_000), ("B", 1)}
+    assert any(f.endswith(".csv") for f in os.listdir(tmp_path / "filtered_export/tb=A"))
+
+
+def test_many_switches(spark):
+    df = spark.range(8).withColumn("c", F.col("id").cast("string"))
+    switches = {f"f{i:02d}": {"enabled": False, "column_key": "c", "values": [str(i % 4)], "match": "equals", "value_type": "string"} for i in range(12)}
+    out = slices(df, switches)
+    assert out.filter("slice_key = 'none'").count() == 8
+    assert rows(out.filter("slice_key = 'f01+f05'"), "id") == [(1,)] and out.filter("slice_key = 'f01+f02'").count() == 0
+    assert rows(out.filter("slice_key = 'f03+f07+f11'"), "id") == [(3,)]
+
+
+def test_nested_numbers_are_safe(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([([(nan, 1)], {"a": nan}), (None, None)], "l array<struct<x:double,y:int>>, m map<string,double>")
+    assert [(r.l and [tuple(x) for x in r.l], r.m) for r in json_safe(df).collect()] == [([(None, 1)], {"a": None}), (None, None)]
+
+
+def test_levels_have_names(spark):
+    df = stage_reports(spark, SF)
+    assert rows(lead_stage_records(df, "substages")) == rows(lead_stage_records(df, "substage"))
+    with pytest.raises(ValueError, match="unknown level"):
+        lead_stage_records(df, "substatus")
 
 
 def test_scan_reads_only_what_is_needed(spark):

@@ -118,7 +118,7 @@ def test_status_columns(spark):
         [("1", "status", "К ПРОДАЖЕ", 5.5), ("1", "status", "к продаже", 6.5), ("1", "status", "Zeta", 1.0), ("2", "substage", "Zeta", 9.0), ("2", "status", "alpha", 2.0)],
         "lead_id string, analysis_level string, current_status string, days_on_stage double",
     )
-    wide = status_pivot(df, ("К продаже", "Активация продукта"), None)
+    wide = status_pivot(df, ("К продаже", "Активация продукта"), ("alpha", "Zeta"))
     assert wide.columns == ["lead_id", "К продаже", "Активация продукта", "alpha", "Zeta"]
     assert rows(wide) == [("1", 6, None, None, 1), ("2", None, None, 2, None)]
     snap = spark.createDataFrame([("1", 7), ("3", 8)], "lead_id string, alpha int")
