@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellspark import constants as K
@@ -25,6 +25,8 @@ from dwellspark.functions.text import (
 
 
 _NO_DATE = 2**31 - 1
+#: Keys over which rows without an id are spread.
+NOBODY_KEYS = 4096
 
 
 def leaders_only(team: DataFrame, words: Sequence[str] = K.LEADER_WORDS) -> DataFrame:
@@ -90,20 +92,19 @@ def latest_leaders(team: DataFrame, id_col: str, fold_case: bool = False, seq: s
     people = work.groupBy("id", name_key.alias("name_key")).agg(
         F.min_by(F.struct("name", "tab_number", "role", "tb"), order).alias("who"), F.min(order).alias("first")
     )
-    # A name is current when its newest pair is the newest of the id.
-    newest = people.groupBy("id").agg(F.min("first.dates").alias("n_dates"))
-    n = newest.select(F.col("id").alias("n_id"), "n_dates")
-    current = people.join(n, (F.col("id") == F.col("n_id")) & (F.col("first.dates") == F.col("n_dates")))
-    named = current.filter(F.col("name_key").isNotNull())
+    # A name is current when its newest pair is the newest of the id. One row per name is left, so
+    # the window over an id is as small as its team.
+    newest = people.withColumn("newest", F.min("first.dates").over(Window.partitionBy("id")))
+    named = newest.filter((F.col("first.dates") == F.col("newest")) & F.col("name_key").isNotNull())
     return named.select("id", "who.name", "who.tab_number", "who.role", "who.tb", F.col("first.seq").alias("seq"))
 
 
 def attach_contacts(
-    leaders: DataFrame, contacts: DataFrame, tab: str = "tab_number", hint=lambda df: df
+    leaders: DataFrame, contacts: DataFrame, tab: str = "tab_number"
 ) -> DataFrame:
     """Both mail addresses next to a tab number; unknown numbers stay without."""
     c = contacts.select(F.col("tab_number").alias("c_tab"), "email_alpha", "email_sigma")
-    return leaders.join(hint(c), F.col(tab) == F.col("c_tab"), "left").drop("c_tab")
+    return leaders.join(c, F.col(tab) == F.col("c_tab"), "left").drop("c_tab")
 
 
 def contact_lookup(contacts: DataFrame, seq: str = "seq") -> DataFrame:
@@ -153,7 +154,10 @@ def leader_lines(leaders: DataFrame, prefix: str) -> DataFrame:
 def attach_leaders(df: DataFrame, leaders: DataFrame, id_col: str, prefix: str) -> DataFrame:
     """Leader columns next to every row; empty ids match nobody."""
     lines = leader_lines(leaders, prefix).withColumnRenamed("id", "l_id")
-    return df.join(lines, id_token(F.col(id_col)) == F.col("l_id"), "left").drop("l_id")
+    # Rows without an id would all meet in one task: each gets one of many keys that no leader has.
+    nobody = F.concat(F.lit("\u0000"), F.pmod(F.monotonically_increasing_id(), F.lit(NOBODY_KEYS)).cast("string"))
+    keyed = df.withColumn("_leader_key", F.coalesce(id_token(F.col(id_col)), nobody))
+    return keyed.join(lines, F.col("_leader_key") == F.col("l_id"), "left").drop("l_id", "_leader_key")
 
 
 def team_entries(

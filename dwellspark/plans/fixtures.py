@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.operators.teams import contact_lookup
 from dwellspark.plans.registry import cte
+from dwellspark.session import SCAN_PARTITIONS
 
 
 # Declared, so that no job has to look into the files first.
@@ -29,8 +30,14 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
+# Tables of a session that asks for dealt scans, and columns that tell their rows apart.
+_DEALT = {"lineitem": ("l_orderkey", "l_partkey", "l_suppkey"), "events": ("event_id",), "orders": ("o_orderkey",)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _dimension(spark, sf_dir, name)
+    df = _dimension(spark, sf_dir, name)
+    number = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(number), *_DEALT[name]) if number and name in _DEALT else df
 
 
 def _dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

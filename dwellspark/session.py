@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ SETTINGS = {
     # Capturing the Python call site of every column makes plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+#: Setting of a session whose inputs are single small files: partitions to deal fact tables to.
+SCAN_PARTITIONS = "spark.dwellspark.scanPartitions"
 
 
 def local_session(cpus: int | str = 8, name: str = "dwellspark", **extra: str) -> SparkSession:
@@ -24,6 +27,7 @@ def local_session(cpus: int | str = 8, name: str = "dwellspark", **extra: str) -
     settings = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(cpus),
+        SCAN_PARTITIONS: str(cpus),
         # Small shuffles still use all cores; on a cluster the default fits.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "12g"),
@@ -48,7 +52,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A folder of this application in the shared one, for tables of a run."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/run-{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the rows once to reliable storage and read them from there afterwards."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once as Parquet to shared storage and read them from there afterwards.
+
+    Readers get only the columns they use, and their filters reach the files. The files stay until
+    `release` or the end of the shared folder.
+    """
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what `materialise` has written for this application; its tables cannot be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
