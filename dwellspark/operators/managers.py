@@ -19,6 +19,7 @@ from dwellspark.functions.text import (
     person_name,
     territory_manager_key,
 )
+from dwellspark.operators.ranking import first_numbered, numbered
 from dwellspark.operators.norms import attach
 from dwellspark.operators.teams import distinct_roles
 
@@ -281,7 +282,7 @@ def chart_groups(
     by_tb = violations_by_tb(totals)
     order = [F.desc("km_with_violations"), F.desc("violation_deals"), F.asc("tb")]
     if mode == "km_by_tb":
-        ranked = by_tb.withColumn("bar", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)))
+        ranked = numbered(by_tb, order, "bar")
         summary = ranked.select(
             F.lit("summary").alias("chart"), F.lit(0).alias("chart_order"), "bar",
             F.col("tb").alias("label"), "km_with_violations", "violation_deals", "km_total",
@@ -289,21 +290,17 @@ def chart_groups(
         picked = ranked.filter(F.col("bar") <= limit)
     else:
         segments = facts_by_segment(facts, group_only=group_only)
-        place = Window.partitionBy(F.lit(1)).orderBy(
-            F.desc("km_with_violations"), F.desc("violation_deals"), "segment"
-        )
+        place = [F.desc("km_with_violations"), F.desc("violation_deals"), F.col("segment")]
         summary = (
-            segments.withColumn("bar", F.row_number().over(place))
-            .filter(F.col("bar") <= limit)
+            first_numbered(segments, place, limit, "bar")
             .select(
                 F.lit("summary").alias("chart"), F.lit(0).alias("chart_order"), "bar",
                 F.col("segment").alias("label"), "km_with_violations", "violation_deals",
                 F.lit(None).cast("long").alias("km_total"),
             )
         )
-        most = Window.partitionBy(F.lit(1)).orderBy(F.desc("km_with_violations"), F.asc("tb"))
-        picked = by_tb.filter(F.col("km_with_violations") > 0)
-        picked = picked.withColumn("bar", F.row_number().over(most)).filter(F.col("bar") <= limit)
+        most = [F.desc("km_with_violations"), F.asc("tb")]
+        picked = first_numbered(by_tb.filter(F.col("km_with_violations") > 0), most, limit, "bar")
     inner = facts_by_segment(facts, ["tb"], group_only)
     p = picked.select(F.col("tb").alias("p_tb"), F.col("bar").alias("chart_order"))
     place = Window.partitionBy("tb").orderBy(F.desc("km_with_violations"), F.desc("violation_deals"), "segment")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dwellspark.functions.text import strip, whole_days
 from dwellspark.operators.histogram import percentile_label, percentile_stats
 from dwellspark.operators.norms import attach
+from dwellspark.operators.ranking import numbered
 
 
 def row_keys(include_status: bool) -> list[str]:
@@ -66,25 +67,23 @@ def duration_matrix(counts: DataFrame, include_status: bool = False, layout: str
 
     Layouts: by_volume (rows and days by leads), alpha_days (names, then days),
     group_alpha_product_volume (group by name, product by leads inside it).
-    Rows and days are dimensions, so ranking them is small work.
     """
     keys = row_keys(include_status)
     names = [F.lower(k) for k in keys] + [F.col(k) for k in keys]
     rows = counts.groupBy(*keys).agg(F.sum("cnt").alias("row_total"))
-    one = Window.partitionBy(F.lit(1))
     if layout == "by_volume":
-        order = one.orderBy(F.desc("row_total"), *names)
+        order = [F.desc("row_total"), *names]
     elif layout == "group_alpha_product_volume":
         rows = rows.withColumn(
             "_volume", F.sum("row_total").over(Window.partitionBy("product_group", "product"))
         )
-        order = one.orderBy(F.lower("product_group"), F.desc("_volume"), *names[1:])
+        order = [F.lower("product_group"), F.desc("_volume"), *names[1:]]
     else:
-        order = one.orderBy(*names)
-    rows = rows.withColumn("row_position", F.row_number().over(order)).drop("_volume")
+        order = names
+    rows = numbered(rows, order, "row_position").drop("_volume")
     days = counts.groupBy("day").agg(F.sum("cnt").alias("day_total"))
-    by_day = one.orderBy(F.desc("day_total"), "day") if layout == "by_volume" else one.orderBy("day")
-    days = days.withColumn("day_position", F.row_number().over(by_day))
+    by_day = [F.desc("day_total"), F.col("day")] if layout == "by_volume" else [F.col("day")]
+    days = numbered(days, by_day, "day_position")
     placed = attach(counts, rows, keys, "inner")
     return placed.join(days, "day").select(
         *keys, "day", "cnt", "row_total", "day_total", "row_position", "day_position"

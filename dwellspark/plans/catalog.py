@@ -9,6 +9,7 @@ from dwellspark.plans import (  # noqa: F401
     queries_sources,
     queries_tracking,
 )
+from dwellspark.plans import queries_runs  # noqa: E402, F401, I001  (uses the SQL of the others)
 from dwellspark.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -61,6 +61,11 @@ DEFAULTS: dict[str, Any] = {
     "percentiles": (20, 50, 80),
     "exceedance_percentile": 80,
     "metrics": ("days_on_stage",),
+    # Shown statistics per percentile, further choices of statistic columns, labels of columns.
+    "profiles": None,
+    "statistics": {},
+    "labels": {},
+    "chart_bars": 8,
     "filters": {},
     "filters_order": None,
     "source_filters": {},
@@ -91,7 +96,7 @@ def report(
     reports: DataFrame,
     spec: dict[str, Any] | None = None,
     parts: Iterable[str] | None = None,
-    team: DataFrame | None = None,
+    team: DataFrame | tuple[DataFrame, DataFrame] | None = None,
     contacts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Tables of the report run, by name. `reports` is normalised and has a `seq` column."""
@@ -114,7 +119,7 @@ def report(
 
     @cache
     def leaders(kind: str) -> DataFrame:
-        roster = split_team(team)[0 if kind == "lead" else 1]
+        roster = rosters(team)[0 if kind == "lead" else 1]
         found = latest_leaders(roster, f"{kind}_id")
         return materialise(attach_contacts(found, contacts) if contacts is not None else found)
 
@@ -158,7 +163,7 @@ def report(
     def snapshot_sheet() -> DataFrame:
         wide = P.status_pivot(records(), s["status_order"])
         status = [c for c in wide.columns if c != "lead_id"]
-        return snapshot_export(with_people(P.attach_status_days(snapshot(), wide)), status_columns=status)
+        return snapshot_export(with_people(P.attach_status_days(snapshot(), wide)), status_columns=status, labels=s["labels"])
 
     @cache
     def matrix(include_status: bool) -> DataFrame:
@@ -167,7 +172,9 @@ def report(
     builders = {
         "snapshot": snapshot_sheet,
         "status_days": lambda: P.status_days(records(), s["status_order"]),
-        "norms": lambda: norms_export(audited_norms(), s["metrics"], s["percentiles"]),
+        "norms": lambda: norms_export(
+            audited_norms(), s["metrics"], s["percentiles"], s["profiles"], s["labels"], **s["statistics"]
+        ),
         "funnel": lambda: funnel(raw, filters, order),
         "filter_catalog": lambda: filter_catalog(raw, filters, order),
         "audit_summary": lambda: audit_summary(audited_norms()),
@@ -189,6 +196,11 @@ def report(
     return {p: builders[p]() for p in wanted}
 
 
+def rosters(team: DataFrame | tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Roster of the lead teams and of the deal teams: given as a pair, or one set with `team_type`."""
+    return team if isinstance(team, tuple) else split_team(team)
+
+
 def leaders_of_nobody(rows: DataFrame) -> DataFrame:
     """An empty leader table for runs without a roster."""
     text = F.lit(None).cast("string")
@@ -200,7 +212,7 @@ def leaders_of_nobody(rows: DataFrame) -> DataFrame:
 def dashboard(
     reports: DataFrame,
     spec: dict[str, Any] | None = None,
-    team: DataFrame | None = None,
+    team: DataFrame | tuple[DataFrame, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Tables behind the dashboard: slices, series, pivots, dimension lists and manager analysis."""
     s = {**DEFAULTS, "metrics": ("days_on_stage", "days_since_deal"), **(spec or {})}
@@ -231,6 +243,7 @@ def dashboard(
         "dimensions": P.dimensions(raw),
         "product_pairs": P.product_pairs(raw),
         "stage_map": P.stage_map(raw),
+        "group_products": P.group_products(raw),
     }
     if s["max_distribution_points"]:
         out["distribution_points"] = H.downsample(hist, keys, s["max_distribution_points"])
@@ -259,7 +272,7 @@ def manager_analytics(raw: DataFrame, s: dict[str, Any], team: DataFrame | None)
     pool = rank_pool(detail, **s["rank_selection"])
     people, team_rows = pool, None
     if team is not None and s["rank_by_team"]:
-        lead, deal = split_team(team)
+        lead, deal = rosters(team)
         team_rows = compose_team(
             detail, latest_leaders(lead, "lead_id", True), latest_leaders(deal, "deal_id", True), list(RECORD)
         )
@@ -275,6 +288,8 @@ def manager_analytics(raw: DataFrame, s: dict[str, Any], team: DataFrame | None)
         "detail_by_product": M.exceedances_by_product(detail),
         "km_by_tb": M.violations_by_tb(totals),
         "km_facts": facts,
+        "km_by_segment": M.facts_by_segment(facts),
+        "km_charts": M.chart_groups(totals, facts, "km_by_tb", s["chart_bars"]),
         "manager_dimensions": P.manager_dimensions(detail),
         "top_managers": M.ranked_with_hotspots(top, spots, items, team_rows, list(RECORD)),
         "top_by_tb": M.top_grouped(top),
