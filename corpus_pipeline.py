@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dwellspark.llm import bpe, decontam, langid, neardup, repeats
 from dwellspark.llm.queries import VOCABULARY
 from dwellspark.llm.tables import table
+from dwellspark.session import ensure_checkpoint_dir
 
 #: Mean probability below which no language is certain enough.
 LEAST_SCORE = 0.3
@@ -25,13 +26,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     so does one whose best language has a mean probability below LEAST_SCORE.
     """
     net = langid.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    found = langid.identify(langid.filled(docs), net)
+    # Other columns travel as one, so that none of their names meets one of the operator.
+    own = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    found = langid.identify(langid.filled(docs.select(own.alias("own"), "text")), net)
     good = found.filter((F.col("lang_pred") != langid.NO_LANGUAGE) & (F.col("score") >= LEAST_SCORE))
-    return good.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    named = {"text": F.col("text"), "lang": F.col("lang_pred")}
+    return good.select(*[named.get(c, F.col("own").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    A text without words stays, a row without an id goes, and of rows with one id one stays.
+    """
     found = neardup.near_duplicates(docs.select("doc_id", "text"))
     kept = found.filter("kept").select("doc_id").distinct()
     # Rows of one id have passed as one document before; a repeated row stays once.
@@ -41,7 +48,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat; a document of which nothing is left goes."""
     cut = repeats.remove_repeats(docs).filter(F.length("text") > 0)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast("long"))
+    return cut.select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,11 +78,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again."""
-    context = spark.sparkContext
-    from dwellspark.session import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(spark)
-    folder = f"{context.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"

@@ -330,7 +330,7 @@ def _digests(length: int):
     return run
 
 
-def _kept_texts(names: list[str], length: int):
+def _kept_texts(length: int):
     """Texts without their repeated strings; a character of which only a part repeats stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,8 +346,7 @@ def _kept_texts(names: list[str], length: int):
                     ends += [start, max(start, end)]
                 ends.append(len(text))
                 texts.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)).decode("utf-8"))
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(texts, pa.string())], names=["own", "text"])
 
     return run
 
@@ -386,4 +385,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Spans are those of ``repeat_digest``, moved inwards to whole characters. A text that loses all
     is empty; a null text becomes empty.
     """
-    return _with_ranges(docs, length).mapInArrow(_kept_texts(docs.columns, length), docs.schema)
+    # Other columns travel as one, so that none of their names meets one of this module.
+    rest = [f for f in docs.schema.fields if f.name != "text"]
+    own = F.struct(F.lit(True).alias("_"), *[F.col(f"`{f.name}`") for f in rest])
+    packed = docs.select(own.alias("own"), "doc_id", "text")
+    cut = _with_ranges(packed, length).mapInArrow(_kept_texts(length), packed.select("own", "text").schema)
+    return cut.select(*[F.col("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns])

@@ -32,3 +32,26 @@ def test_stages_take_effect(spark, tmp_path, rng):
 
 def test_default_rule_is_five_words_and_four_fifths():
     assert neardup.near_duplicates.__defaults__[:2] == (5, 80) and decontam.PERCENT == 20
+
+
+CLASHING = "key string, row string, own string, score string, lang_pred string, kept string, node long, ranges string, place long"
+
+
+def test_stages_with_empty_tables_nulls_and_clashing_columns(spark, tmp_path, rng):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + CLASHING
+    extra = ("k", "r", "o", "s", "p", "t", 5, "g", 6)
+    rows = [(i, sentence(rng, "de", 40), "de", None, None, *extra) for i in range(6)]
+    rows += [(7, None, None, None, None, *extra), (8, "", "de", None, 0, *extra), (None, sentence(rng, "de", 50), "de", "s", 1, *extra), rows[0]]
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        now = stage(spark, docs, str(tmp_path))
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        if name != "tokens":
+            assert now.columns == docs.columns
+            got = now.collect()
+            assert {0, 1, 2, 3, 4, 5} <= {r["doc_id"] for r in got}
+            assert all(tuple(r)[5:] == extra for r in got)
+        else:
+            assert now.count() == len(rows)
