@@ -6,9 +6,10 @@
    to common, and of ``floor`` shared values at least SHARED lie among the first
    size - floor + SHARED of both. Only those are put into inverted lists.
 3. Lists of up to SHORT_LIST nodes give pairs, and pairs of SHARED lists are candidates. Nodes of
-   longer lists are sketched anew with a larger k, where a common passage fills a smaller part of
-   the retained values. What is common even there is first joined along stars and chains of the
-   list, and then only pairs of nodes that are still in different components are looked at.
+   longer lists go to the next level with a larger k, where a common passage reaches less far into
+   the rare values; at the last level most texts are there as whole sets. What is common even there
+   are large groups of near copies: each node is compared with the nodes beside it in some orders of
+   its group, and after those links only pairs of nodes that are in different components are left.
 4. The union sketch (the k smallest values of both sketches) estimates the similarity of candidates.
 5. What passes is verified on the full sets: at first the best two candidates of each node, then
    those pairs that are not yet connected. Components follow from verified links only.
@@ -30,8 +31,8 @@ from dwellspark.llm import hashing
 from dwellspark.llm.components import components
 from dwellspark.llm.tables import stored
 
-#: Retained values at the two levels of inverted lists.
-SKETCHES = (32, 128)
+#: Retained values at the levels of inverted lists; the last is sketched for the nodes that need it.
+SKETCHES = (32, 128, 512)
 #: Retained values in the estimate of a candidate pair.
 ESTIMATE = 64
 #: Lists that two candidates have in common.
@@ -40,8 +41,8 @@ SHARED = 3
 MISS = 1e-9
 #: Nodes of a list that is paired at once.
 SHORT_LIST = 32
-#: Nodes of a star inside a longer list, and of the part of a list that one task orders.
-STAR, PART = 64, 4096
+#: Orders in which large groups are gone through, and nodes before a node that it is compared with.
+ORDERS, REACH = 4, 24
 
 #: The characters that separate words.
 SEPARATOR = hashing.byte_set(0x20, range(0x09, 0x0E))
@@ -102,7 +103,10 @@ def similar_size(percent: int, a: str = "n_a", b: str = "n_b") -> Column:
 
 
 def _postings(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``v, node, n, df``: the rarest retained values of each node that another node has too."""
+    """``v, node, n, df, place``: the rarest retained values of each node that another node has too.
+
+    ``place`` counts the node's values from the rarest on.
+    """
     floor = overlap_floor(k, percent)
     values = nodes.select("node", "n", F.slice("sketch", 1, k).alias("s")).select(
         "node", "n", F.size("s").alias("size"), F.explode("s").alias("v")
@@ -116,50 +120,56 @@ def _postings(nodes: DataFrame, k: int, percent: int) -> DataFrame:
         .withColumn("alone", F.col("size") - F.count("*").over(Window.partitionBy("node")))
         .filter(F.col("alone") + F.col("r") <= F.col("size") - least + shared_lists(percent))
     )
-    return ranked.select("v", "node", "n", "df")
+    return ranked.select("v", "node", "n", "df", (F.col("alone") + F.col("r")).alias("place"))
 
 
 def _pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of similar size with SHARED lists in common; ``lists`` has v, node, n."""
-    left = lists.select("v", F.col("node").alias("a"), F.col("n").alias("n_a"), *(["c"] if "c" in lists.columns else []))
-    right = lists.select("v", F.col("node").alias("b"), F.col("n").alias("n_b"), *([F.col("c").alias("c_b")] if "c" in lists.columns else []))
-    apart = (F.col("c") != F.col("c_b")) if "c" in lists.columns else F.lit(True)
-    joined = left.join(right, "v").filter((F.col("a") < F.col("b")) & apart & similar_size(percent))
+    left = lists.select("v", F.col("node").alias("a"), F.col("n").alias("n_a"))
+    right = lists.select("v", F.col("node").alias("b"), F.col("n").alias("n_b"))
+    joined = left.join(right, "v").filter((F.col("a") < F.col("b")) & similar_size(percent))
     return joined.groupBy("a", "b").agg(F.count("*").alias("lists")).filter(F.col("lists") >= shared_lists(percent)).select("a", "b")
 
 
-def _stars(lists: DataFrame) -> DataFrame:
-    """Links along each list in order of size: to the neighbour, to the head of a star, to the head
-    of a part and to the first part. A hot list is dealt to parts, so no task orders all of it."""
-    parts = lists.withColumn(
-        "part", F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("df") / F.lit(PART)).cast("long"))
-    )
-    order = Window.partitionBy("v", "part").orderBy("n", "node")
-    ranked = parts.withColumn("r", F.row_number().over(order) - 1).withColumn("star", F.floor(F.col("r") / STAR))
-    star = Window.partitionBy("v", "part", "star").orderBy("r")
-    whole = ranked.select(
-        "v",
-        "part",
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group: each node with the two most similar of the REACH nodes before it."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())])
+    group, before = None, []
+    for batch in batches:
+        rounds, values, nodes = (batch.column(c).to_numpy() for c in ("round", "v", "node"))
+        flat, at = batch.column("sketch").flatten().to_numpy(), batch.column("sketch").offsets.to_numpy()
+        at = at - at[0]
+        a, b, estimates = [], [], []
+        for i in range(len(batch)):
+            own = flat[at[i] : at[i + 1]]
+            if (rounds[i], values[i]) != group:
+                group, before = (rounds[i], values[i]), []
+            if before:
+                ends = np.cumsum([len(x) for _, x in before])
+                inside = np.cumsum(np.isin(np.concatenate([x for _, x in before]), own))[ends - 1]
+                common = np.diff(np.concatenate([[0], inside]))
+                for j in np.argsort(-common, kind="stable")[:2]:
+                    a.append(min(nodes[i], before[j][0]))
+                    b.append(max(nodes[i], before[j][0]))
+                    estimates.append(common[j] / (len(own) + len(before[j][1]) - common[j]))
+            before = [*before[-REACH + 1 :], (nodes[i], own)]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(estimates, pa.float64())], schema=schema)
+
+
+def _groups(nodes: DataFrame) -> DataFrame:
+    """Likely pairs of large groups, ``a, b, estimate``. In each order nodes meet under the smallest
+    of their values by another hash; sorted buckets split a hot group between tasks."""
+    orders = nodes.select("node", "sketch", F.explode(F.sequence(F.lit(1), F.lit(ORDERS))).alias("round"))
+    keyed = orders.select(
+        "round",
+        F.expr("array_min(transform(sketch, x -> struct(xxhash64(x, round) as h, x as v)))")["v"].alias("v"),
+        F.xxhash64("node", "round").alias("place"),
         "node",
-        "r",
-        F.lag("node").over(order).alias("before"),
-        F.first("node").over(star).alias("head"),
-        F.first("node").over(order).alias("lead"),
-        F.col("df"),
-    )
-    near = whole.select(
-        F.col("node").alias("a"),
-        F.explode(F.array("before", "head", F.when(F.col("r") % STAR == 0, F.col("lead")))).alias("b"),
-    )
-    heads = whole.filter((F.col("r") == 0) & (F.col("df") > PART)).select("v", "node")
-    firsts = heads.groupBy("v").agg(F.min("node").alias("b"))
-    far = heads.join(firsts, "v").select(F.col("node").alias("a"), "b")
-    return (
-        near.unionByName(far)
-        .filter(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        F.slice("sketch", 1, ESTIMATE).alias("sketch"),
     )
+    order = ["round", "v", "place"]
+    found = keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_beside, "a long, b long, estimate double")
+    return found.filter(F.col("a") != F.col("b")).groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
 
 
 def _estimate(percent: int):
@@ -200,8 +210,8 @@ def _estimate(percent: int):
     return run
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    sketch = F.slice("sketch", 1, ESTIMATE)
+def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int, k: int = ESTIMATE) -> DataFrame:
+    sketch = F.slice("sketch", 1, k)
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), sketch.alias("s_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), sketch.alias("s_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").filter(similar_size(percent))
@@ -282,7 +292,7 @@ def near_duplicates(
     (null if there is no other id); an empty table stays empty.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = stored(base.mapInArrow(_sketch(shingle, SKETCHES[-1]), "id long, n long, node long, sketch array<long>"))
+    rows = stored(base.mapInArrow(_sketch(shingle, SKETCHES[1]), "id long, n long, node long, sketch array<long>"))
     sets = rows.filter(F.col("n") > 0)
     least = sets.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"))
     # Smaller sets are similar to equal ones only.
@@ -290,23 +300,31 @@ def near_duplicates(
     nodes = stored(
         some.groupBy("node").agg(F.min(F.struct("id", "n", "sketch")).alias("one")).select("node", "one.id", "one.n", "one.sketch")
     )
-    postings = stored(_postings(nodes, SKETCHES[0], percent))
-    short = postings.filter(F.col("df") <= SHORT_LIST)
-    pairs = _pairs(short, percent)
-    hot = nodes.join(postings.filter(F.col("df") > SHORT_LIST).select("node").distinct(), "node", "left_semi")
-    lists = stored(_postings(hot, SKETCHES[1], percent))
-    starred = _stars(lists)
-    candidates = stored(_estimated(pairs.unionByName(starred).distinct(), nodes, percent))
-    needed = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    hot, pairs = nodes, None
+    for k in SKETCHES[:-1]:
+        postings = stored(_postings(hot, k, percent))
+        found = _pairs(postings.filter(F.col("df") <= SHORT_LIST), percent)
+        pairs = found if pairs is None else pairs.unionByName(found)
+        hot = nodes.join(postings.filter(F.col("df") > SHORT_LIST).select("node").distinct(), "node", "left_semi")
+    near = stored(_estimated(pairs.distinct(), nodes, percent))
+    hot = stored(hot.select("node", "id"))
+    needed = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot.select("node")).distinct()
     ids = needed.join(nodes.select("node", "id"), "node")
     texts = stored(base.join(ids, "id").select("node", "text").dropDuplicates(["node"]))
-    links = _links(candidates, texts, shingle, percent)
+    large = stored(
+        texts.join(hot.select("node"), "node", "left_semi")
+        .select(F.col("node").alias("id"), "text")
+        .mapInArrow(_sketch(shingle, SKETCHES[-1]), "id long, n long, node long, sketch array<long>")
+        .select(F.col("id").alias("node"), "n", "sketch")
+    )
+    lists = stored(_postings(large, SKETCHES[-1], percent))
+    together = large.join(lists.select("node").distinct(), "node", "left_semi")
+    candidates = near.unionByName(_groups(together)).groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    links = _links(stored(candidates), texts, shingle, percent)
     labels = stored(components(links))
-    rest = _remaining(lists, labels, candidates, nodes, percent)
+    rest = _remaining(lists, labels, large, percent)
     if not rest.isEmpty():
-        needed = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        more = base.join(needed.join(nodes.select("node", "id"), "node"), "id").select("node", "text").dropDuplicates(["node"])
-        links = links.unionByName(_links(rest, stored(more), shingle, percent))
+        links = links.unionByName(_links(rest, texts, shingle, percent))
         labels = stored(components(links))
     least = least.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = least.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -321,10 +339,28 @@ def near_duplicates(
     )
 
 
-def _remaining(lists: DataFrame, labels: DataFrame, candidates: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Candidates of the second level that the stars left in different components."""
+def _first_common(lists: DataFrame, percent: int, k: int) -> DataFrame:
+    """Pairs of nodes in different components, each from the first list that both are in.
+
+    ``lists`` has v, node, n, df, place and the component c. After the first common value two whole
+    sets can share no more than the rest of the shorter one, which has to be enough; so most pairs
+    of a large list are no result of the join.
+    """
+    earlier = Window.partitionBy("node").orderBy("df", "v").rowsBetween(Window.unboundedPreceding, -1)
+    rows = lists.withColumn("before", F.collect_list("v").over(earlier))
+    a, b = (rows.select("v", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "place", "c", "before")]) for x in "ab")
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+    possible = (F.greatest("n_a", "n_b") > k) | (rest >= needed)
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("c_a") != F.col("c_b")) & similar_size(percent)
+    first = ~F.arrays_overlap("before_a", "before_b")
+    return a.join(b, "v").filter(apart & possible & first).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+def _remaining(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidates of the last level whose nodes are in different components."""
     marked = lists.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     mixed = marked.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi"))
-    open_lists = marked.join(mixed.select("v"), "v", "left_semi").select("v", "node", "n", "c")
-    pairs = _pairs(open_lists, percent).join(candidates.select("a", "b"), ["a", "b"], "left_anti")
-    return stored(_estimated(pairs, nodes, percent))
+    open_lists = stored(marked.join(mixed.select("v"), "v", "left_semi"))
+    pairs = _first_common(open_lists, percent, SKETCHES[-1])
+    return stored(_estimated(pairs, nodes, percent, SKETCHES[-1]))
