@@ -75,16 +75,19 @@ class Codec:
         try:
             return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            self.learn({w for w in words if w not in self.words})
+            missing = {w for w in words if w not in self.words}
+            if len(self.words) + len(missing) > REMEMBERED:
+                # Known words of this text go too, so all of it is learned anew.
+                self.words.clear()
+                self.pieces.clear()
+                missing = set(words)
+            self.learn(missing)
             return b"".join(map(self.words.__getitem__, words))
 
     def directly(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-            self.pieces.clear()
         cut: dict[str, list[str]] = {}
         for word in words:
             # Beyond Latin letters, lower case and composition are left to the tokenizer itself.

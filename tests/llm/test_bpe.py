@@ -35,6 +35,13 @@ def test_words_and_decoding_equal_the_tokenizer(own):
         assert own.decode(own.ids(text)) == decoded
 
 
+def test_words_are_forgotten_without_loss(own, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 4)
+    fresh = bpe.Codec(VOCABULARY)
+    for text in ("the cat sat", "the dog ran off", "the dog and one two three four five six", "the cat", "don't the don't"):
+        assert fresh.ids(text) == np.array(direct(own, text)[0], "<u4").tobytes()
+
+
 @pytest.mark.parametrize("size", [7, 40, 150])
 def test_concatenated_halves_equal_the_whole(own, size):
     for text in texts():
