@@ -245,6 +245,8 @@ def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH)
     twice = F.col("lo") != F.col("hi")
     place = F.xxhash64("key", "pos")
     lowest, highest = F.min("place").alias("lo"), F.max("place").alias("hi")
+    # Copies of a text have the same anchors; each stays once. Both uses share the exchange.
+    anchors = anchors.distinct()
     again = (
         anchors.groupBy("gram").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter(twice).select("gram")
     )
@@ -266,10 +268,10 @@ def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH)
     )
     held = texts.join(wanted.select("row", "places"), "row")
     suffixes = held.mapInArrow(_suffixes(length), "core long, key long, start int, windows binary")
-    found = inner.unionByName(_repeated_starts(suffixes)).groupBy("key").agg(
-        F.collect_list(F.struct("low", "high")).alias("ranges")
-    )
-    single = rows.filter(F.col("rows") == 1).join(found, "key").select("row", "ranges", F.lit(False).alias("copies"))
+    # Of a text with copies all goes, so its ranges are not collected.
+    alone = rows.filter(F.col("rows") == 1).select("key", "row")
+    found = inner.unionByName(_repeated_starts(suffixes)).join(alone, "key").groupBy("row")
+    single = found.agg(F.collect_list(F.struct("low", "high")).alias("ranges")).withColumn("copies", F.lit(False))
     none = F.array().cast("array<struct<low:int,high:int>>")
     many = (
         texts.select("key", "row").join(rows.filter(F.col("rows") > 1).select("key"), "key").select("row").distinct()

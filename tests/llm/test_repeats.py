@@ -64,3 +64,28 @@ def test_spans_of_a_copy(size):
 
 def test_empty_table(documents):
     assert repeats.repeat_digest(documents([])).count() == 0
+
+
+def test_copies_are_gathered_once(documents, monkeypatch):
+    rng = random.Random(3)
+    noise = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage = noise(900)
+    copied = noise(300) + passage + noise(300)
+    rows = [(i, copied) for i in range(40)] + [(100, noise(500) + passage), (101, passage[:600] + noise(500)), (102, noise(700))]
+    plain = repeats._suffixes
+
+    def once(length):
+        run = plain(length)
+
+        def checked(batches):
+            for batch in batches:
+                for places in batch.column("places").to_pylist():
+                    found = [(p["pos"], p["side"]) for p in places]
+                    assert len(found) == len(set(found)), "an anchor is gathered once per copy"
+                yield from run([batch])
+
+        return checked
+
+    monkeypatch.setattr(repeats, "_suffixes", once)
+    got = repeats.repeat_digest(documents(rows)).collect()
+    assert sorted((r[0], *tuple(r)[1:]) for r in got) == brute(rows, 400)
