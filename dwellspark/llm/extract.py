@@ -4,7 +4,8 @@ The text of a page lies in blocks, each at the end of a path of tags from the ro
 the length of its texts and their punctuation are related to the number of its blocks. A block has
 the ratios of its path; both are smoothed along the page and multiplied. Paths whose blocks lie above
 a threshold are content, and so are the other paths of the same container (a heading, a short last
-line). Paths through elements that by name are no article (menus, adverts, forms) have ratio 0.
+line). Paths through elements that by kind or name are no article (menus, adverts, forms) have ratio
+0; a name does not count where the element holds most of the page.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 NEVER = frozenset(
-    "head script style noscript template iframe object svg canvas math audio video form fieldset select textarea button input "
+    "head script style noscript template iframe object svg canvas math audio video fieldset select textarea button input "
     "option optgroup datalist nav menu footer aside dialog title noembed noframes".split()
 )
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre td th tr tbody thead tfoot table figcaption hgroup caption br center address".split())
@@ -41,6 +42,10 @@ NAMES = frozenset(
     "notification outbrain pager pagination popup promo promoted promotion recommended related replies respond search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe taboola toc toolbar tooltip topbar widget widgets".split()
 )
+#: Words that turn such a name into a statement about the layout ("no-comments").
+LAYOUT = frozenset("with without no not has hide".split())
+#: Share of the weight of a page above which an element is not barred by its name.
+MOST = 0.5
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LIST_EDGE = frozenset("ul ol dl table select div article section main body".split())
 #: Blocks on each side that smoothing looks at, and the share of the mean that is the threshold.
@@ -52,17 +57,34 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
-_SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])")
 
 
 @dataclass
 class Path:
-    """A tag path; ``barred`` if an element on it is no article, ``container`` without its textual end."""
+    """A tag path; ``barred`` if an element on it is never an article, ``container`` without its textual end.
+
+    ``named`` if its last element is by name no article, ``suspect`` if any on it is; ``article`` if it leads
+    through an article or main element whose name is not that of a comment or the like.
+    """
 
     name: str
     barred: bool
     inside: bool
     container: int
+    parent: int = -1
+    named: bool = False
+    suspect: bool = False
+    article: bool = False
+
+
+def named(words: list[str]) -> bool:
+    """Whether a class, id or role names what is no article."""
+    for word in words:
+        parts = {w.lower() for w in _SPLIT.split(word) if w}
+        if parts & NAMES and not parts & LAYOUT:
+            return True
+    return False
 
 
 @dataclass
@@ -83,11 +105,14 @@ class Page:
         if key not in self.known:
             above = self.paths[parent] if parent >= 0 else Path("", False, False, -1)
             inside = above.inside or tag in ("article", "main")
-            words = {w.lower() for n in names for w in _SPLIT.split(n) if w} if tag not in ("html", "body", "article", "main") else set()
-            barred = above.barred or hidden or tag in NEVER or (tag == "header" and not above.inside) or bool(words & NAMES)
+            by_name = tag == "form" or tag not in ("html", "body") and named(names)
+            article = above.article or tag in ("article", "main") and not by_name
+            by_name = by_name and tag not in ("article", "main")
+            barred = above.barred or hidden or tag in NEVER or (tag == "header" and not above.inside)
             here = len(self.paths)
             self.known[key] = here
-            self.paths.append(Path(f"{above.name}/{label}", barred, inside, here if tag in BLOCKS - TEXTUAL else above.container))
+            container = here if tag in BLOCKS - TEXTUAL else above.container
+            self.paths.append(Path(f"{above.name}/{label}", barred, inside, container, parent, by_name, above.suspect or by_name, article))
         return self.known[key]
 
 
@@ -111,7 +136,8 @@ def read(source: str) -> Page:
         if piece:
             if not text or not "".join(text).strip():
                 block[0] = top()
-            if page.paths[top()].barred and not page.paths[block[0]].barred:
+            now, begun = page.paths[top()], page.paths[block[0]]
+            if now.barred and not begun.barred or now.suspect and not begun.suspect:
                 return  # an inline element that is no article, inside a block that is
             text.append(html.unescape(piece) if "&" in piece else piece)
 
@@ -173,11 +199,8 @@ def smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, kernel, mode="full")[RADIUS : RADIUS + len(values)] / weight
 
 
-def content(page: Page) -> list[str]:
-    """Texts of the content blocks in page order."""
-    blocks = [(p, t) for p, t in page.blocks if not page.paths[p].barred]
-    if not blocks:
-        return []
+def ratios(page: Page, blocks: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Path, length and fused ratio of blocks."""
     paths = np.array([p for p, _ in blocks])
     length = np.array([len(t) for _, t in blocks], float)
     marks = np.array([len(_PUNCTUATION.findall(t)) for _, t in blocks], float)
@@ -185,7 +208,40 @@ def content(page: Page) -> list[str]:
     count = np.maximum(np.bincount(paths, minlength=size), 1)
     text_ratio = np.bincount(paths, weights=length, minlength=size) / count
     mark_ratio = np.bincount(paths, weights=marks, minlength=size) / count
-    fused = smooth(text_ratio[paths]) * smooth(1 + mark_ratio[paths])
+    return paths, length, smooth(text_ratio[paths]) * smooth(1 + mark_ratio[paths])
+
+
+def barred_paths(page: Page) -> list[bool]:
+    """Which paths are no article, by kind or by name.
+
+    A name bars nothing that holds most of the weight (ratio times length): of the text inside
+    article or main where the page has some, else of all text.
+    """
+    barred = [p.barred for p in page.paths]
+    blocks = [(p, t) for p, t in page.blocks if not barred[p]]
+    if not any(page.paths[p].suspect for p, _ in blocks):
+        return barred
+    paths, length, fused = ratios(page, blocks)
+    article = np.array([page.paths[p].article for p in paths.tolist()])
+    weight = fused * length * (article if article.any() else 1)
+    held = np.bincount(paths, weights=weight, minlength=len(page.paths))
+    total = held.sum()
+    for i in range(len(held) - 1, 0, -1):
+        held[page.paths[i].parent] += held[i]
+    for i, path in enumerate(page.paths):
+        by_name = path.named and held[i] <= MOST * total
+        barred[i] = path.barred or by_name or path.parent >= 0 and barred[path.parent]
+    return barred
+
+
+def content(page: Page) -> list[str]:
+    """Texts of the content blocks in page order."""
+    barred = barred_paths(page)
+    blocks = [(p, t) for p, t in page.blocks if not barred[p]]
+    if not blocks:
+        return []
+    size = len(page.paths)
+    paths, length, fused = ratios(page, blocks)
     chosen = fused >= THRESHOLD * fused.mean()
     container = np.array([page.paths[p].container for p in paths.tolist()])
     weight = np.bincount(container + 1, weights=np.where(chosen, fused * length, 0), minlength=size + 1)

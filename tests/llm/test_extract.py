@@ -43,3 +43,17 @@ def test_table_with_nulls_and_repeats(spark):
         (0, LONG.strip(), len(LONG.strip())), (1, "", 0), (2, "", 0), (3, "é", 1), (3, "é", 1),
     ]
     assert extract.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_names_of_wrappers_do_not_bar_the_article():
+    rest = '<div class="Sidebar">Side, bar.</div><div id="userComments">First, comment.</div><div class="MENU">One, two.</div>'
+    text = f"<p>{LONG * 3}</p><p>{LONG}</p>"
+    want = [(LONG * 3).strip(), LONG.strip()]
+    for wrapper in ('div class="layout with-sidebar"', 'div class="post no-comments"', 'div id="search-results-page"', 'form action="/page.aspx"'):
+        end = wrapper.split()[0]
+        for inner in (f"<article>{text}</article>", f'<div class="content">{text}</div>'):
+            assert extract.main_text(page(f"<{wrapper}>{inner}{rest}</{end}>")).split("\n") == want, wrapper
+    long = f'<article>{text}</article><div class="comments"><p>{LONG * 20}</p></div>'
+    assert extract.main_text(page(long)).split("\n") == want
+    comments = f'<div class="content">{text}</div><ol class="comments"><li><article class="comment"><p>{LONG}</p></article></li></ol>'
+    assert extract.main_text(page(comments)).split("\n") == want
