@@ -3,8 +3,8 @@
 The text of a page lies in blocks, each at the end of a path of tags from the root. For every path
 the length of its texts and their punctuation are related to the number of its blocks. A block has
 the ratios of its path; both are smoothed along the page and multiplied. Paths whose blocks lie above
-a threshold are content, and so are the other paths of the same container (a heading, a short last
-line). Paths through elements that by kind or name are no article (menus, adverts, forms) have ratio
+a threshold are content, and so are headings and the other paths of the same container (a short last
+line), except paths of nothing but links, whose ratio is 0. Paths through elements that by kind or name are no article (menus, adverts, forms) have ratio
 0; a name does not count where the element holds most of the page.
 """
 
@@ -28,6 +28,9 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td "
     "tfoot th thead title tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Containers that structure an article; inside it they need no ratio of their own.
+PARTS = frozenset("article main section header figure".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 NEVER = frozenset(
@@ -65,7 +68,8 @@ class Path:
     """A tag path; ``barred`` if an element on it is never an article, ``container`` without its textual end.
 
     ``named`` if its last element is by name no article, ``suspect`` if any on it is; ``article`` if it leads
-    through an article or main element whose name is not that of a comment or the like.
+    through an article or main element whose name is not that of a comment or the like; ``textual`` if a
+    textual element follows its container.
     """
 
     name: str
@@ -76,6 +80,9 @@ class Path:
     named: bool = False
     suspect: bool = False
     article: bool = False
+    tag: str = ""
+    heading: bool = False
+    textual: bool = False
 
 
 def named(words: list[str]) -> bool:
@@ -91,28 +98,37 @@ def named(words: list[str]) -> bool:
 class Page:
     paths: list[Path] = field(default_factory=list)
     known: dict[tuple[int, str], int] = field(default_factory=dict)
-    blocks: list[tuple[int, str]] = field(default_factory=list)
+    #: Path, text and characters in links of each block.
+    blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
     def path(self, parent: int, tag: str, attributes: str) -> int:
         names: list[str] = []
+        ids: list[str] = []
         for match in _ATTRIBUTE.finditer(attributes) if "=" in attributes else ():
-            names += (match.group(2) or match.group(3) or match.group(4) or "").split()
+            found = (match.group(2) or match.group(3) or match.group(4) or "").split()
+            (ids if match.group(1).lower() == "id" else names).extend(found)
         label = tag if not names else tag + "." + ".".join(names)
         hidden = bool(attributes) and bool(_HIDDEN.search(attributes))
         if hidden:
             label += "!"
+        by_name = tag == "form" or tag not in ("html", "body") and named(names + ids)
+        if by_name:
+            label += "?"  # an id is no part of a path, but what it bars is
         key = (parent, label)
         if key not in self.known:
             above = self.paths[parent] if parent >= 0 else Path("", False, False, -1)
             inside = above.inside or tag in ("article", "main")
-            by_name = tag == "form" or tag not in ("html", "body") and named(names)
             article = above.article or tag in ("article", "main") and not by_name
             by_name = by_name and tag not in ("article", "main")
             barred = above.barred or hidden or tag in NEVER or (tag == "header" and not above.inside)
             here = len(self.paths)
             self.known[key] = here
             container = here if tag in BLOCKS - TEXTUAL else above.container
-            self.paths.append(Path(f"{above.name}/{label}", barred, inside, container, parent, by_name, above.suspect or by_name, article))
+            heading = above.heading or tag in HEADINGS
+            textual = container != here and (above.textual or tag in TEXTUAL)
+            self.paths.append(
+                Path(f"{above.name}/{label}", barred, inside, container, parent, by_name, above.suspect or by_name, article, tag, heading, textual)
+            )
         return self.known[key]
 
 
@@ -124,13 +140,14 @@ def read(source: str) -> Page:
     def top() -> int:
         return stack[-1][1] if stack else 0
 
-    block = [0]
+    block, linked, links = [0], [0], [0]
 
     def flush() -> None:
         joined = " ".join("".join(text).split())
         if joined:
-            page.blocks.append((block[0], joined))
+            page.blocks.append((block[0], joined, min(linked[0], len(joined))))
         text.clear()
+        linked[0] = 0
 
     def add(piece: str) -> None:
         if piece:
@@ -140,6 +157,8 @@ def read(source: str) -> Page:
             if now.barred and not begun.barred or now.suspect and not begun.suspect:
                 return  # an inline element that is no article, inside a block that is
             text.append(html.unescape(piece) if "&" in piece else piece)
+            if links[0]:
+                linked[0] += len("".join(text[-1].split()))
 
     while at < len(source):
         match = _TAG.search(source, at)
@@ -164,6 +183,7 @@ def read(source: str) -> Page:
                         flush()
                     del stack[i:]
                     break
+            links[0] = sum(t == "a" for t, _ in stack) if links[0] else 0
             continue
         if tag in BLOCKS and tag != "br":
             # A block ends an open paragraph.
@@ -189,6 +209,7 @@ def read(source: str) -> Page:
             at = end.end() if end else len(source)
             continue
         stack.append((tag, here))
+        links[0] += tag == "a"
     flush()
     return page
 
@@ -199,16 +220,18 @@ def smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, kernel, mode="full")[RADIUS : RADIUS + len(values)] / weight
 
 
-def ratios(page: Page, blocks: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Path, length and fused ratio of blocks."""
-    paths = np.array([p for p, _ in blocks])
-    length = np.array([len(t) for _, t in blocks], float)
-    marks = np.array([len(_PUNCTUATION.findall(t)) for _, t in blocks], float)
+def ratios(page: Page, blocks: list[tuple[int, str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Path, length and fused ratio of blocks; a path of nothing but links that is no heading has ratio 0."""
+    paths = np.array([p for p, _, _ in blocks])
+    length = np.array([len(t) for _, t, _ in blocks], float)
+    marks = np.array([len(_PUNCTUATION.findall(t)) for _, t, _ in blocks], float)
+    plain = np.array([len("".join(t.split())) > n or page.paths[p].heading for p, t, n in blocks])
     size = len(page.paths)
     count = np.maximum(np.bincount(paths, minlength=size), 1)
     text_ratio = np.bincount(paths, weights=length, minlength=size) / count
     mark_ratio = np.bincount(paths, weights=marks, minlength=size) / count
-    return paths, length, smooth(text_ratio[paths]) * smooth(1 + mark_ratio[paths])
+    some = np.bincount(paths, weights=plain, minlength=size) > 0
+    return paths, length, smooth(text_ratio[paths]) * smooth(1 + mark_ratio[paths]) * some[paths]
 
 
 def barred_paths(page: Page) -> list[bool]:
@@ -218,8 +241,8 @@ def barred_paths(page: Page) -> list[bool]:
     article or main where the page has some, else of all text.
     """
     barred = [p.barred for p in page.paths]
-    blocks = [(p, t) for p, t in page.blocks if not barred[p]]
-    if not any(page.paths[p].suspect for p, _ in blocks):
+    blocks = [b for b in page.blocks if not barred[b[0]]]
+    if not any(page.paths[p].suspect for p, _, _ in blocks):
         return barred
     paths, length, fused = ratios(page, blocks)
     article = np.array([page.paths[p].article for p in paths.tolist()])
@@ -237,21 +260,36 @@ def barred_paths(page: Page) -> list[bool]:
 def content(page: Page) -> list[str]:
     """Texts of the content blocks in page order."""
     barred = barred_paths(page)
-    blocks = [(p, t) for p, t in page.blocks if not barred[p]]
+    blocks = [b for b in page.blocks if not barred[b[0]]]
     if not blocks:
         return []
     size = len(page.paths)
     paths, length, fused = ratios(page, blocks)
-    chosen = fused >= THRESHOLD * fused.mean()
-    container = np.array([page.paths[p].container for p in paths.tolist()])
+    chosen = (fused >= THRESHOLD * fused.mean()) & (fused > 0)
+    own = [page.paths[p] for p in paths.tolist()]
+    container = np.array([p.container for p in own])
     weight = np.bincount(container + 1, weights=np.where(chosen, fused * length, 0), minlength=size + 1)
-    inside = np.array([page.paths[p].inside for p in paths.tolist()])
+    inside = np.array([p.inside for p in own])
     best = weight[container[inside] + 1].max() if inside.any() else weight.max()
-    good = weight[container + 1] >= CONTAINER * best
+    heavy = weight >= CONTAINER * best if best > 0 else np.zeros(size + 1, bool)
+    # What stands beside content under one parent as the same element is content, however short.
+    whole = {(page.paths[c].parent, page.paths[c].tag) for c in np.flatnonzero(heavy[1:] & (weight[1:] > 0)).tolist()}
+    titled = {p.container for p in own if p.heading}
+    beside = np.zeros(size + 1, bool)
+    for c in set(container.tolist()) - {-1}:
+        path = page.paths[c]
+        below = path.parent >= 0 and page.paths[path.parent].tag not in ("html", "body")
+        beside[c + 1] = (path.parent, path.tag) in whole and (below or c in titled)
+    good = (heavy | beside)[container + 1] & (fused > 0)
     if inside.any():
-        # The page says where its article is; beside it only what outweighs it counts.
-        good = inside | good & (weight[container + 1] > 4 * best)
-    return [t for (_, t), keep in zip(blocks, good, strict=True) if keep]
+        # The page says where its article is; beside it only what outweighs it counts. In it the ratio
+        # of a path decides, save for headings and the short text of a container with content.
+        part = np.array([c >= 0 and page.paths[c].tag in PARTS for c in container.tolist()])
+        textual = np.array([p.textual for p in own])
+        heading = np.array([p.heading for p in own])
+        with_content = part | beside[container + 1] | (weight[container + 1] > 0) & textual
+        good = inside & (fused > 0) & (chosen | heading | with_content) | ~inside & good & (weight[container + 1] > 4 * best)
+    return [t for (_, t, _), keep in zip(blocks, good, strict=True) if keep]
 
 
 def main_text(source: str) -> str:

@@ -57,3 +57,20 @@ def test_names_of_wrappers_do_not_bar_the_article():
     assert extract.main_text(page(long)).split("\n") == want
     comments = f'<div class="content">{text}</div><ol class="comments"><li><article class="comment"><p>{LONG}</p></article></li></ol>'
     assert extract.main_text(page(comments)).split("\n") == want
+
+
+def test_ratios_decide_inside_an_article():
+    links = "".join(f'<li><a href="/{i}">Another story {i}</a></li>' for i in range(6))
+    junk = f'<ul>{links}</ul><div class="s2"><a href="/t">Tweet</a> <a href="/m">Mail</a></div>'
+    bottom = "".join(f'<div class="x9"><span>Buy {i}</span></div>' for i in range(8))
+    body = "".join(f"<p>{LONG * 3}</p>" for _ in range(6))
+    source = page(f'<article><header><h1><a href="/">Title</a></h1></header>{body}<p>End.</p>{junk}{bottom}</article>')
+    assert extract.main_text(source).split("\n") == ["Title", *[(LONG * 3).strip()] * 6, "End."]
+
+
+def test_short_parts_of_an_article_without_its_element():
+    parts = f'<section id="s1"><p>{LONG * 9}</p></section><section id="s2"><p>Short, but whole.</p></section>'
+    source = page(f'<div class="all"><div class="title"><h1>Title</h1></div><div class="intro"><p>A lead.</p></div><div class="text">{parts}</div></div>')
+    assert extract.main_text(source).split("\n")[-2:] == [(LONG * 9).strip(), "Short, but whole."]
+    source = page(f'<div class="all"><div class="title"><h1>Title</h1></div><div class="intro"><p>A lead.</p></div><div class="text"><p>{LONG * 9}</p></div></div>')
+    assert extract.main_text(source).split("\n") == ["Title", "A lead.", (LONG * 9).strip()]
