@@ -137,7 +137,13 @@ def viterbi(nodes: list[list[tuple[str, float]]], model: np.ndarray) -> tuple[st
     return text.strip(), score
 
 
-_DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+]+[^\W\d_]|[0-9@$!|+][^\W\d_]{2}|[^\W\d_]{2}[0-9]$|([^\W\d_])\1\1|[^\W\d_][.\-_*'~]+[^\W\d_][.\-_*'~]")
+_DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+]+[^\W\d_]|[0-9@$!|+][^\W\d_]{2}|[^\W\d_]{2}[0-9@$|+]$|([^\W\d_])\1\1|[^\W\d_][.\-_*'~]+[^\W\d_][.\-_*'~]")
+
+#: Words whose likeliest reading must beat the plain one: letters in pairs, or mostly look-alikes.
+_DOUBLED = re.compile(r"([a-z])\1")
+_MOSTLY = re.compile(r"(?=.{4})[0-9@$!|+]+[a-z]+[0-9@$!|+]+[a-z]?$")
+#: By how much (a logarithm) the reading without pairs must be likelier.
+MARGIN = 2.0
 
 
 @dataclass
@@ -148,7 +154,7 @@ class Restorer:
     words: dict[str, str] = field(default_factory=dict)
 
     def word(self, token: str) -> str:
-        """The token without its disguise; itself where it has none or has fewer than two letters."""
+        """The token without its disguise; itself where it has none or has no likely reading."""
         found = self.words.get(token)
         if found is None:
             # Decoration at the ends is no part of the word.
@@ -156,6 +162,15 @@ class Restorer:
             found = token
             if _DISGUISED.search(core) and sum(c.isalpha() for c in core) >= 2:
                 found = viterbi(lattice(core), self.model)[0] or token
+            elif _MOSTLY.match(core):
+                # Taken if its letters are likely ones, whatever the disguise costs.
+                read, score = viterbi(lattice(core), self.model)
+                if len(read) > 2 and score > AS_LETTER * sum(c in LOOKALIKE for c in core):
+                    found = read
+            elif core.isalpha() and _DOUBLED.search(core):
+                read, score = viterbi(lattice(core), self.model)
+                if score > viterbi([[(core, 0.0)]], self.model)[1] + MARGIN:
+                    found = token.replace(core, read)
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[token] = found
@@ -194,13 +209,14 @@ def disguised(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     between[2:-2] = _BETWEEN[data]
     before, after, later = slice(1, -3), slice(3, -1), slice(4, None)
     here = slice(2, -2)
-    signs = look[here] & letter[after] | look[here] & letter[before] & ~letter[after] & (data >= 48) & (data < 58)
-    thrice = np.zeros(size, bool)
-    thrice[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & letter[here][2:] & (data[2:] < 128)
+    signs = look[here] & letter[after] | look[here] & letter[before] & ~letter[after] & (data != 33)
+    lower = data | 32
+    twice = np.zeros(size, bool)
+    twice[1:] = (lower[1:] == lower[:-1]) & letter[here][1:] & letter[here][:-1] & (data[1:] < 128)
     cut = letter[before] & between[here] & letter[after] & between[later]
     # A blank, one letter or sign, a blank, and another one.
     alone = blank[before] & (letter[here] | look[here]) & (blank | between)[after] & (letter | look)[later]
-    total = np.concatenate([[0], np.cumsum(signs | thrice | cut | alone)])
+    total = np.concatenate([[0], np.cumsum(signs | twice | cut | alone)])
     return total[bounds[1:]] > total[bounds[:-1]]
 
 

@@ -59,3 +59,20 @@ def test_edges(fitted, documents, spark):
     none = toxicity.fit(documents([(1, "a")]), spark.createDataFrame([], "doc_id long, toxic int"), fitted[0])
     assert toxicity.score_documents(documents([(1, "a")]), none).first()["score"] < 0.5
     assert toxicity.character_model(documents([])).shape == (28, 28, 28)
+
+
+@pytest.mark.parametrize(
+    "text,restored",
+    [("a moroon", "a moron"), ("iddiioott", "idiot"), ("wwoorthless, man", "worthless, man"), ("1d107", "idiot"), ("school letter", "school letter"), ("4x400 100m", "4x400 100m")],
+)
+def test_restoring_pairs_closing_signs_and_mostly_signs(fitted, text, restored):
+    import numpy as np
+
+    if restored != text:
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert toxicity.disguised(data, np.array([0, len(data)]))[0]
+    assert toxicity.Restorer(fitted[0]).text(text) == restored
+
+
+def test_closing_sign(fitted):
+    assert toxicity.Restorer(fitted[0]).text("idio+") == "idiot"
