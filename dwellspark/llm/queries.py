@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import bpe, chat, decontam, extract, langid, neardup, repeats, sharding, topk, toxicity
+from dwellspark.llm import bpe, chat, contentsort, decontam, extract, langid, merkle, neardup, repeats, sharding, topk, toxicity
 from dwellspark.llm.tables import id_bucket, table
 
 #: The vocabulary of the token query.
@@ -77,6 +77,14 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contentsort.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op12_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
@@ -88,6 +96,8 @@ QUERIES = {
     "op8_noisy_channel_toxicity": op8_noisy_channel_toxicity,
     "op9_tree_bpe": op9_tree_bpe,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op11_content_sort": op11_content_sort,
+    "op12_path_copying_manifest": op12_path_copying_manifest,
 }
 
 ORACLE = {
@@ -128,5 +138,68 @@ SELECT s.conv_id,
                 + CASE WHEN guarded THEN guarded_chars ELSE length(text) END) AS BIGINT) AS formatted_chars
 FROM sized s JOIN levels l ON s.conv_id = l.conv_id
 GROUP BY s.conv_id
+""",
+    "op11_content_sort": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op12_path_copying_manifest": """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+         || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+         CASE WHEN doc_id IS NULL THEN 0 ELSE xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, byte: list_reduce(
+             list_prepend(xor(crc, byte), range(8)),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) END AS crc
+  FROM documents
+), hashed AS (
+  SELECT doc_id, coalesce('v' || lang, 'n') AS g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(text) || ':' || CASE WHEN crc % 3 = 0 THEN lowered ELSE text END, '-')) AS used
+  FROM fields
+), leaves AS (
+  SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY g) AS n
+  FROM hashed
+), low AS (
+  SELECT g, 0 AS level, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT g, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM low WHERE n > 1 GROUP BY g, level, pos // 8, n
+), parts AS (
+  SELECT g, digest, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, pos, digest, n FROM parts
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM high WHERE n > 1 GROUP BY level, pos // 8, n
+), beside AS (
+  SELECT l.rid, t.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < l.pos // CAST(8 ** t.level AS BIGINT)), '') AS lefts,
+         coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > l.pos // CAST(8 ** t.level AS BIGINT)), '') AS rights
+  FROM leaves l JOIN low t ON l.g = t.g AND t.n > 1 AND l.pos // CAST(8 ** (t.level + 1) AS BIGINT) = t.pos // 8
+  GROUP BY l.rid, t.level
+  UNION ALL
+  SELECT l.rid, 1000 + t.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < p.pos // CAST(8 ** t.level AS BIGINT)), ''),
+         coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > p.pos // CAST(8 ** t.level AS BIGINT)), '')
+  FROM leaves l JOIN parts p ON l.g = p.g
+  JOIN high t ON t.n > 1 AND p.pos // CAST(8 ** (t.level + 1) AS BIGINT) = t.pos // 8
+  GROUP BY l.rid, t.level
+), paths AS (
+  SELECT rid, list({'lefts': lefts, 'rights': rights} ORDER BY level) AS path, string_agg(lefts || rights, '' ORDER BY level) AS proof
+  FROM beside GROUP BY rid
+), folded AS (
+  SELECT l.doc_id, l.leaf, p.digest AS subroot, r.digest AS root, sha256(coalesce(x.proof, '')) AS proof_sha256,
+         list_reduce(list_prepend({'lefts': l.used, 'rights': ''}, coalesce(x.path, [])),
+                     lambda a, b: {'lefts': sha256(b.lefts || a.lefts || b.rights), 'rights': ''}).lefts AS folded_root
+  FROM leaves l JOIN parts p ON l.g = p.g JOIN high r ON r.n = 1 LEFT JOIN paths x ON l.rid = x.rid
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
 """,
 }
