@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import bpe, chat, contentsort, decontam, extract, langid, merkle, neardup, repeats, sharding, topk, toxicity
+from dwellspark.llm import bpe, chat, contentsort, decontam, extract, langid, merkle, neardup, repeats, sharding, spelling, topk, toxicity
 from dwellspark.llm.tables import id_bucket, table
 
 #: The vocabulary of the token query.
@@ -85,6 +85,10 @@ def op12_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_kd_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
@@ -98,6 +102,7 @@ QUERIES = {
     "op10_suffix_repeats": op10_suffix_repeats,
     "op11_content_sort": op11_content_sort,
     "op12_path_copying_manifest": op12_path_copying_manifest,
+    "op13_kd_spelling": op13_kd_spelling,
 }
 
 ORACLE = {
@@ -201,5 +206,51 @@ WITH RECURSIVE fields AS (
   FROM leaves l JOIN parts p ON l.g = p.g JOIN high r ON r.n = 1 LEFT JOIN paths x ON l.rid = x.rid
 )
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+""",
+    "op13_kd_spelling": """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n,
+         coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named
+  FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295, flatten(list_transform(string_split(named, ''), lambda c:
+             CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END))),
+           lambda crc, byte: list_reduce(
+             list_prepend(xor(crc, byte), range(8)),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS h
+  FROM counted
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), holes AS (
+  SELECT word, n, spot, substr(word, 1, spot) AS front, substr(word, spot + 2) AS back
+  FROM (SELECT word, n, unnest(range(length(word))) AS spot FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n
+  FROM holes a JOIN holes b ON a.spot = b.spot AND a.front = b.front AND a.back = b.back AND a.word <> b.word
+  UNION
+  SELECT w.word, h.word, h.n FROM words w JOIN holes h ON w.word = h.front || h.back
+  UNION
+  SELECT h.word, w.word, w.n FROM words w JOIN holes h ON w.word = h.front || h.back
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near
+  FROM near
+), forms AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+         CASE WHEN r.other_n >= 5 * w.n THEN r.other END AS form,
+         CASE WHEN r.other_n >= 5 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1
+), chain AS (
+  SELECT word, word AS spot, 0 AS step FROM forms
+  UNION ALL
+  SELECT c.word, f.form, c.step + 1 FROM chain c JOIN forms f ON c.spot = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (SELECT word, arg_max(spot, step) AS root FROM chain GROUP BY word) e ON f.word = e.word
 """,
 }
