@@ -24,7 +24,7 @@ from dwellspark.plans.registry import cte, query
 from dwellspark.session import ensure_checkpoint_dir
 from dwellspark.sources.reports import load_reports, normalize_reports, project_required, with_category
 from dwellspark.sources.rosters import load_team
-from dwellspark.sources.sinks import partition_counts, write_csv, write_split, write_table
+from dwellspark.sources.sinks import partition_counts, read_csv, write_csv, write_split, write_table
 
 LINE_HEADERS = {
     "lead_id": " L_ORDERKEY",
@@ -210,17 +210,15 @@ def q_sink_csv(spark, sf):
     path = _scratch(spark, "csv")
     rows = stage_reports(spark, sf, "lead_id", "deal_id", "report_date", "tb", "days_on_stage")
     write_csv(rows, path, row_limit=20_000)
-    return spark.read.option("sep", ";").option("header", True).schema(rows.schema).csv(path)
+    return read_csv(spark, path, rows.schema)
 
 
 @query("q_sink_csv_long_text", "SELECT doc_id, CASE WHEN text = '' THEN NULL ELSE text END AS text FROM documents")
 def q_sink_csv_long_text(spark, sf):
     """Whole texts through a CSV file; line breaks inside quotes are read back."""
     path = _scratch(spark, "csv-text")
-    docs = table(spark, sf, "documents").select("doc_id", F.translate("text", "\\\"\r", "").alias("text"))
-    write_csv(docs, path)
-    options = {"sep": ";", "header": True, "multiLine": True, "maxCharsPerColumn": -1}
-    return spark.read.options(**options).schema("doc_id long, text string").csv(path)
+    write_csv(table(spark, sf, "documents").select("doc_id", "text"), path)
+    return read_csv(spark, path, "doc_id long, text string")
 
 
 @query(

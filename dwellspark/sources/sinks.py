@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from dwellspark.functions.output import json_safe, sanitize
 
 ROW_LIMIT = 900_000
+#: A quote inside a quoted value is doubled, so a backslash is a character like any other; blanks at the
+#: edges of a value belong to it. Writer and reader have to agree on these.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_table(
@@ -16,14 +20,15 @@ def write_table(
 ) -> None:
     """A table in the format asked for, at most `row_limit` rows per file; `by` gives a folder per value.
 
-    CSV has a header and clean values; JSON has no NaN.
+    CSV has a header and clean values, which `read_csv` reads back as they were written (an empty text
+    comes back as null); JSON has no NaN.
     """
     clean = {"csv": sanitize, "json": json_safe}.get(fmt, lambda x: x)(df)
     writer = clean.write.mode(mode).option("maxRecordsPerFile", row_limit)
     if by is not None:
         writer = writer.partitionBy(by)
     if fmt == "csv":
-        writer = writer.option("sep", sep).option("header", True)
+        writer = writer.options(**CSV, sep=sep)
     writer.format(fmt).save(path)
 
 
@@ -32,6 +37,12 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", row_limit: int = ROW_LIM
     write_table(df, path, "csv", None, row_limit, sep, mode)
 
 
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ";") -> DataFrame:
+    """What `write_csv` has written. Line breaks inside quotes belong to the value, and it has any length."""
+    options = {**CSV, "sep": sep, "multiLine": True, "lineSep": "\n", "maxCharsPerColumn": -1}
+    return spark.read.options(**options).schema(schema).csv(path)
+
+
 def write_split(
     df: DataFrame, path: str, by: str = "tb", fmt: str = "parquet", row_limit: int = ROW_LIMIT,
     mode: str = "overwrite",

@@ -12,7 +12,7 @@ from dwellspark.operators.tracking import lead_stage_records
 from dwellspark.plans.report import dashboard, report, write, write_dashboard
 from dwellspark.plans.settings import CLIP_RULES, FILTERS, ORDER
 from dwellspark.sources.rosters import load_contacts
-from dwellspark.sources.sinks import write_csv, write_split
+from dwellspark.sources.sinks import read_csv, write_csv, write_split
 
 SF = "/root/testdata/sf0.001"
 SPEC = {"filters": FILTERS, "filters_order": ORDER, "clip_rules": CLIP_RULES, "status_order": ("AF", "NO")}
@@ -52,6 +52,14 @@ def test_dashboard_run(spark, tmp_path):
     assert "hotspots" in top.columns and top.count() > 0
 
 
+def test_csv_keeps_every_character(spark, tmp_path):
+    texts = ['"', 'a "b" c', "\\", 'a\\"b', "\\\\n", " edge ", "\tt\t", "a\rb", "a\r\nb", "\n", "\r", "a;b", ";", '";"', "'", "#x", '"a', "é\u2028", "x" * 70_000, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    write_csv(df.repartition(3), str(tmp_path / "q"))
+    back = read_csv(spark, str(tmp_path / "q"), df.schema)
+    assert [r.t for r in back.orderBy("id").collect()] == texts
+
+
 def test_csv_and_split(spark, tmp_path):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 3).cast("string").alias("tb"), F.lit("a\x07;b").alias("t"))
     write_csv(df.coalesce(1), str(tmp_path / "c"), row_limit=40)
