@@ -1,27 +1,37 @@
 """Filter slices: the same result under every combination of switchable filters.
 
-One pass tags each row with the keys of all slices it belongs to; `slice_key` is
-then an extra group key of whatever follows.
+One pass gives each row a mask of the switches it passes. The slices of a row follow from its mask,
+so rows are aggregated by mask before anything is repeated per slice; `slice_key` is then an extra
+group key of whatever follows.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark.operators.filters import (
     FilterSpec,
-    chain,
     config_only_filters,
+    extreme_of,
     filter_specs,
     keep_expr,
 )
+from dwellspark.operators.tracking import (
+    best_records,
+    daily_states,
+    lead_stage_records,
+    levels_of,
+    merged_states,
+    record_keys,
+)
 
 
 def slice_key(names: Sequence[str]) -> str:
@@ -56,58 +66,135 @@ def normalise_choice(filters: dict[str, dict[str, Any]], chosen: Sequence[str])
     ]
 
 
-def slices(df: DataFrame, filters: dict[str, dict[str, Any]]) -> DataFrame:
-    """Rows repeated once per slice they belong to, tagged `slice_key`.
+@dataclass(frozen=True)
+class Masked:
+    """Rows that can be in a slice, with `_mask`: what is needed to say in which ones.
 
-    Filters that do not switch hold in every slice: includes first, then the
-    excludes that are on.
+    `keys` turns the mask into the keys of the slices of a row. Rows with equal masks are in the same
+    slices, so the mask may take part in an aggregation in their place: there are never more masks
+    than combinations of passed switches that occur.
     """
+
+    rows: DataFrame
+    keys: Column
+
+
+def masked(df: DataFrame, filters: dict[str, dict[str, Any]]) -> Masked:
+    """Filters that do not switch hold in every slice: includes first, then the excludes that are on."""
     specs = filter_specs(filters)
     base = config_only_filters(df, filters)
     fixed = [s for s in specs.values() if s.excludes and s.enabled and not s.switchable]
     combos = combine(filters)
     switches = list(dict.fromkeys(n for combo in combos for n in combo))
     if any(s.is_extreme for s in [*fixed, *(specs[n] for n in switches)]):
-        return _by_combination(base, specs, fixed, combos)
-    # Which switches a row passes is one number; what follows from it is looked up per number.
+        return Masked(_by_combination(base, specs, fixed, combos), F.col("_mask"))
+    # Which switches a row passes is one number; the slices that follow from it are known here.
     bits = {n: 1 << i for i, n in enumerate(switches)}
     mask = reduce(
         lambda a, b: a.bitwiseOR(b),
         (F.when(_passes(base, [specs[n]]), F.lit(bit)).otherwise(F.lit(0)) for n, bit in bits.items()),
         F.lit(0),
     )
-    masked = base.filter(_passes(base, fixed)).withColumn("_mask", mask.cast("long"))
+    rows = base.filter(_passes(base, fixed)).withColumn("_mask", mask.cast("long"))
     needs = [{"need": sum(bits[n] for n in c), "slice_key": slice_key(c)} for c in combos]
     needed = F.from_json(F.lit(json.dumps(needs)), "array<struct<need:bigint,slice_key:string>>")
     inside = F.filter(needed, lambda n: n["need"].bitwiseAND(F.col("_mask")) == n["need"])
-    keys = masked.select("_mask").distinct().select("_mask", F.inline(inside)).drop("need")
-    return masked.join(keys, "_mask").drop("_mask")
+    return Masked(rows, F.transform(inside, lambda n: n["slice_key"]))
+
+
+def slices(df: DataFrame, filters: dict[str, dict[str, Any]]) -> DataFrame:
+    """Rows repeated once per slice they belong to, tagged `slice_key`."""
+    found = masked(df, filters)
+    return found.rows.withColumn("slice_key", F.explode(found.keys)).drop("_mask")
+
+
+def sliced_records(
+    df: DataFrame,
+    filters: dict[str, dict[str, Any]],
+    level: str = "status",
+    product_mode: str = "group_product",
+    dedup_agg: str = "max",
+    seq: str = "seq",
+) -> DataFrame:
+    """One record per slice, lead and stage: `lead_stage_records` of `slices`, on the masks.
+
+    Rows of a lead, stage and date are reduced to one state per mask first, with partial aggregates.
+    The states are brought together by lead and stage, and only there a state is repeated for the
+    slices that hold its mask; what is exchanged never grows with the number of slices. A median has
+    no state that could be merged; it is taken from the repeated rows.
+    """
+    if dedup_agg == "median":
+        return lead_stage_records(slices(df, filters), level, product_mode, dedup_agg, seq, ["slice_key"])
+    found = masked(df, filters)
+    group_only = product_mode == "group_only"
+    parts = []
+    for name in levels_of(level):
+        states = daily_states(found.rows, name, group_only, dedup_agg, seq, ["_mask"])
+        together = states.repartition(*record_keys(name, group_only))
+        repeated = together.withColumn("slice_key", F.explode(found.keys)).drop("_mask")
+        daily = merged_states(repeated, name, group_only, dedup_agg, ["slice_key"])
+        parts.append(best_records(daily, name, group_only, ["slice_key"]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _by_combination(
     base: DataFrame, specs: dict[str, FilterSpec], fixed: Sequence[FilterSpec], combos: Sequence[Sequence[str]]
 ) -> DataFrame:
-    """The same where an extreme depends on the filters before it."""
-    tags = []
+    """Rows with the keys of their slices where an extreme depends on the filters before it.
+
+    The extremes of all combinations are conditional aggregates of one pass. Only an extreme behind
+    another extreme needs a further pass, so there are as many as extremes in one combination at most.
+    """
+    sequences = []
     for combo in combos:
         # Includes cut the rows before the excludes see them, each on the remainder.
-        members = [specs[n] for n in combo if not specs[n].excludes] + sorted(
-            [specs[n] for n in combo if specs[n].excludes] + list(fixed), key=lambda s: s.name
+        sequences.append(
+            [specs[n] for n in combo if not specs[n].excludes]
+            + sorted([specs[n] for n in combo if specs[n].excludes] + list(fixed), key=lambda s: s.name)
         )
-        tags.append(F.when(_passes(base, members), F.lit(slice_key(combo))))
-    keys = F.array_compact(F.array(*tags))
-    return base.select("*", F.explode(keys).alias("slice_key"))
-
-
-def _passes(base: DataFrame, members: Sequence[FilterSpec]):
-    keeps, seen = [], []
-    for spec in members:
-        keep = keep_expr(chain(base, seen) if spec.is_extreme else base, spec)
+    known: dict[tuple[str, ...], Column] = {}
+
+    def extreme(path: tuple[str, ...]) -> Callable[[str], Column]:
+        return lambda column: known[(*path, column)]
+
+    def passes(members: Sequence[FilterSpec]) -> Column:
+        """Combinations that begin alike share the extremes of what they have in common."""
+        path = tuple(m.name for m in members)
+        return _passes(base, members, [extreme(path[: i + 1]) for i in range(len(path))])
+
+    for depth in range(max(sum(m.is_extreme for m in members) for members in sequences)):
+        wanted: dict[tuple[str, ...], Column] = {}
+        for members in sequences:
+            at = [i for i, m in enumerate(members) if m.is_extreme]
+            if depth >= len(at):
+                continue
+            spec, before = members[at[depth]], members[: at[depth]]
+            path = tuple(m.name for m in [*before, spec])
+            for column in (c for c in spec.columns if c in base.columns):
+                value, pick = extreme_of(base, column, spec)
+                wanted.setdefault((*path, column), pick(F.when(passes(before), value)))
+        if not wanted:
+            continue
+        name = f"_extremes_{depth}"
+        picked = base.agg(*[c.alias(f"x{i}") for i, c in enumerate(wanted.values())])
+        row = picked.select(F.struct("*").alias("all")).scalar()
+        base = base.withColumn(name, row)
+        known |= {key: F.col(name)[f"x{i}"] for i, key in enumerate(wanted)}
+    tags = [F.when(passes(members), F.lit(slice_key(combo))) for combo, members in zip(combos, sequences, strict=True)]
+    tagged = base.withColumn("_mask", F.array_compact(F.array(*tags)))
+    return tagged.drop(*[c for c in base.columns if c.startswith("_extremes_")])
+
+
+def _passes(
+    base: DataFrame, members: Sequence[FilterSpec], extremes: Sequence[Callable[[str], Column]] = ()
+) -> Column:
+    keeps = []
+    for i, spec in enumerate(members):
+        keep = keep_expr(base, spec, extremes[i] if extremes else None)
         if keep is None:
             # An include on a missing column empties its slice; an exclude has no effect.
             keep = F.lit(spec.excludes)
         keeps.append(F.coalesce(keep, F.lit(False)))
-        seen.append(spec)
     return reduce(lambda a, b: a & b, keeps, F.lit(True))
 
 

@@ -38,7 +38,7 @@ def first_value(name: str, seq: str = "seq") -> Column:
     return F.min_by(F.col(name), F.when(F.col(name).isNotNull(), F.col(seq)))
 
 
-def _keys(level: str, group_only: bool) -> list[str]:
+def record_keys(level: str, group_only: bool) -> list[str]:
     stage = "deal_stage" if level == "substage" else "current_status"
     return ["lead_id", "product_group", *([] if group_only else ["product"]), "tb", stage]
 
@@ -54,7 +54,7 @@ def dedup_same_date(
     """One row per lead, stage and report date: days by `agg`, first value of the rest."""
     if level == "substage":
         df = df.filter(~is_empty(F.col("deal_stage")))
-    keys = [*tags, *_keys(level, group_only), "report_date"]
+    keys = [*tags, *record_keys(level, group_only), "report_date"]
     fields = ["current_status", "deal_stage", "product", *EXTRA_FIELDS]
     metrics = [m for m in ("days_on_stage", "days_since_deal") if m in df.columns]
     return df.groupBy(*keys).agg(
@@ -72,11 +72,55 @@ def _aggregate(agg: str, name: str, seq: str) -> Column:
     return known[agg](name)
 
 
-def _level_records(df, level, group_only, agg, seq, tags) -> DataFrame:
-    daily = dedup_same_date(df, level, group_only, agg, seq, tags)
-    keys = [*tags, *_keys(level, group_only)]
+def _state(agg: str, name: str, seq: str) -> Column:
+    """What has to be known of some rows to go on with the rest of them."""
+    value = F.col(name)
+    if agg in ("first", "last"):
+        placed = F.when(value.isNotNull(), F.struct(F.col(seq).alias("at"), value.alias("v")))
+        return F.min(placed) if agg == "first" else F.max(placed)
+    if agg == "mean":
+        return F.struct(F.sum(value).alias("sum"), F.count(value).alias("n"))
+    return _aggregate(agg, name, seq)
+
+
+def _merged(agg: str, name: str) -> Column:
+    """The aggregate over states of the same name."""
+    if agg in ("first", "last"):
+        return (F.min(name) if agg == "first" else F.max(name))["v"]
+    if agg == "mean":
+        return F.sum(F.col(name)["sum"]) / F.when(F.sum(F.col(name)["n"]) > 0, F.sum(F.col(name)["n"]))
+    return _aggregate(agg, name, "")
+
+
+def daily_states(
+    df: DataFrame, level: str, group_only: bool, agg: str, seq: str, tags: Sequence[str]
+) -> DataFrame:
+    """`dedup_same_date` in the form of states, which `merged_states` can bring together on fewer tags."""
+    if level == "substage":
+        df = df.filter(~is_empty(F.col("deal_stage")))
+    keys = [*tags, *record_keys(level, group_only), "report_date"]
+    fields = ["current_status", "deal_stage", "product", *EXTRA_FIELDS]
+    metrics = [m for m in ("days_on_stage", "days_since_deal") if m in df.columns]
+    return df.groupBy(*keys).agg(
+        *[_state(agg, m, seq).alias(m) for m in metrics],
+        *[_state("first", c, seq).alias(c) for c in fields if c in df.columns and c not in keys],
+    )
+
+
+def merged_states(states: DataFrame, level: str, group_only: bool, agg: str, tags: Sequence[str]) -> DataFrame:
+    """One row per lead, stage and report date, as from `dedup_same_date`."""
+    keys = [*tags, *record_keys(level, group_only), "report_date"]
+    metrics = ("days_on_stage", "days_since_deal")
+    return states.groupBy(*keys).agg(
+        *[_merged(agg if c in metrics else "first", c).alias(c) for c in states.columns if c not in keys]
+    )
+
+
+def best_records(daily: DataFrame, level: str, group_only: bool, tags: Sequence[str]) -> DataFrame:
+    """Across dates: most days first, then the newest date."""
+    keys = [*tags, *record_keys(level, group_only)]
     rest = [c for c in daily.columns if c not in keys]
-    # Most days first, then the newest date; nulls are the smallest in a struct.
+    # Nulls are the smallest in a struct.
     best = daily.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct("days_on_stage", "report_date")).alias("best")
     )
@@ -96,6 +140,12 @@ def _level_records(df, level, group_only, agg, seq, tags) -> DataFrame:
 LEVELS = {"status": ("status",), "substages": ("substage",), "substage": ("substage",), "both": ("status", "substage")}
 
 
+def levels_of(level: str) -> tuple[str, ...]:
+    if level not in LEVELS:
+        raise ValueError(f"unknown level {level!r}; known: {sorted(LEVELS)}")
+    return LEVELS[level]
+
+
 def lead_stage_records(
     df: DataFrame,
     level: str = "status",
@@ -110,10 +160,11 @@ def lead_stage_records(
     `slice_key`. Records without days stay.
     """
     group_only = product_mode == "group_only"
-    if level not in LEVELS:
-        raise ValueError(f"unknown level {level!r}; known: {sorted(LEVELS)}")
-    levels = LEVELS[level]
-    parts = [_level_records(df, lv, group_only, dedup_agg, seq, list(tags)) for lv in levels]
+    tags = list(tags)
+    parts = [
+        best_records(dedup_same_date(df, lv, group_only, dedup_agg, seq, tags), lv, group_only, tags)
+        for lv in levels_of(level)
+    ]
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 

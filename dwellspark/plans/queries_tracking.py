@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.operators.pivots import attach_status_days, status_days, status_pivot
 from dwellspark.operators.quality import lead_coverage, missing_days
-from dwellspark.operators.slices import slices
+from dwellspark.operators.slices import sliced_records
 from dwellspark.operators.snapshot import FIELDS, lead_snapshot, snapshot_export
 from dwellspark.operators.tracking import dedup_same_date, lead_stage_records, manager_records
 from dwellspark.plans.fixtures import event_reports, stage_reports
@@ -88,8 +88,7 @@ def slice_records(spark, sf):
         spark, sf, "seq", "lead_id", "product_group", "product", "tb", "current_status", "deal_stage",
         "report_date", "days_on_stage", "days_since_deal", "label", "change_conditions", "deal_id", "km",
     )
-    tagged = slices(df, SWITCHES).drop("label", "change_conditions")
-    return lead_stage_records(tagged, tags=["slice_key"])
+    return sliced_records(df, SWITCHES).drop("label", "change_conditions")
 
 
 @query("q_slice_records", "SELECT * FROM sl_rec")

@@ -37,7 +37,7 @@ from dwellspark.operators.funnel import (
 )
 from dwellspark.operators.norms import norms, norms_export
 from dwellspark.operators.quality import lead_coverage, missing_days
-from dwellspark.operators.slices import slice_catalog, slices
+from dwellspark.operators.slices import slice_catalog, sliced_records
 from dwellspark.operators.snapshot import lead_snapshot, snapshot_export
 from dwellspark.operators.teams import (
     attach_contacts,
@@ -227,7 +227,7 @@ def dashboard(
     clipping = {
         "clip_rules": s["clip_rules"], "min_group_size": s["min_group_size"], "min_remaining": s["min_remaining"],
     }
-    sliced = materialise(lead_stage_records(slices(raw, filters), tags=["slice_key"], **options))
+    sliced = materialise(sliced_records(raw, filters, **options))
     table = materialise(
         norms(sliced, SPOT, s["metrics"], s["percentiles"], km=None, tags=["slice_key"], **clipping)
     )

@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from conftest import rows
@@ -14,7 +16,8 @@ from dwellspark.operators.filters import (
     terminal_rows_out,
 )
 from dwellspark.operators.funnel import audit_names, funnel, group_funnel
-from dwellspark.operators.slices import combine, default_slice_key, normalise_choice, slice_key, slices
+from dwellspark.operators.slices import combine, default_slice_key, normalise_choice, slice_key, sliced_records, slices
+from dwellspark.operators.tracking import lead_stage_records
 
 
 @pytest.mark.parametrize(
@@ -143,6 +146,74 @@ def test_slices_equal_separate_runs(spark):
         assert rows(part, "id") == rows(one, "id"), combo
 
 
+EXTREMES = {
+    "low": {"column_key": "x", "match": "less", "values": [3], "value_type": "number"},
+    "top": {"column_key": "y", "match": "max", "value_type": "number"},
+    "odd": {"column_key": "z", "match": "equals", "values": [1], "value_type": "number"},
+    "least": {"column_keys": ["x", "z"], "match": "min", "value_type": "number"},
+    "out": {"column_key": "w", "action": "exclude", "match": "max", "value_type": "number"},
+    "absent": {"column_key": "nowhere", "match": "max", "value_type": "number"},
+}
+
+
+def test_slices_with_extremes_equal_separate_runs(spark):
+    df = spark.createDataFrame([(i, i % 4, i * 7 % 5, i % 3, i % 6) for i in range(60)], "id int, x int, y int, z int, w int")
+    tagged = slices(df, EXTREMES).select("id", "slice_key").collect()
+    found = {slice_key(c): sorted(r.id for r in tagged if r.slice_key == slice_key(c)) for c in combine(EXTREMES)}
+    assert len(found) == 64
+    for combo in combine(EXTREMES):
+        one = ordered_filters(df, {n: {**EXTREMES[n], "enabled": True} for n in combo}, filters_order(filter_specs(EXTREMES)))
+        want = [] if "absent" in combo else sorted(r.id for r in one.collect())
+        assert found[slice_key(combo)] == want, combo
+
+
+def test_extremes_of_all_combinations_are_one_pass(spark, tmp_path):
+    spark.range(50).selectExpr("id", "id % 7 AS x", "id % 5 AS y", "id % 3 AS z").write.parquet(str(tmp_path / "t"))
+    three = {n: EXTREMES[n] for n in ("low", "odd", "top")}
+    tagged = slices(spark.read.parquet(str(tmp_path / "t")), three)
+    assert len(combine(three)) == 8
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    # One subquery has the extremes of all combinations, wherever they are used.
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", plan))) == 1, plan
+
+
+@pytest.mark.parametrize("agg", ["max", "min", "sum", "mean", "median", "first", "last"])
+def test_records_on_masks_equal_records_of_slices(spark, agg):
+    rng = random.Random(agg)
+    data = [
+        (i, f"L{rng.randrange(3)}", "g", rng.choice(["p", None]), "t", rng.choice(["s", "u"]), rng.choice(["d", "-", "e"]),
+         dt.date(2024, 1, rng.randrange(1, 4)), rng.choice([None, 1.0, 2.0, 5.0]), rng.choice([None, 3.0]), rng.choice([None, "k", "m"]),
+         rng.randrange(4), rng.randrange(5))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(
+        data,
+        "seq int, lead_id string, product_group string, product string, tb string, current_status string, deal_stage string, "
+        "report_date date, days_on_stage double, days_since_deal double, km string, x int, y int",
+    )
+    for filters in (SWITCHES, {n: EXTREMES[n] for n in ("low", "top")}):
+        for mode in ("group_product", "group_only"):
+            got = sliced_records(df, filters, "both", mode, agg)
+            want = lead_stage_records(slices(df, filters), "both", mode, agg, tags=["slice_key"])
+            assert rows(got, *want.columns) == rows(want)
+
+
+def test_no_exchange_sees_repeated_rows(spark):
+    plan = slices_plan(spark)
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    # The generator that repeats states lies above both exchanges.
+    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning")
+
+
+def slices_plan(spark):
+    df = spark.createDataFrame(
+        [(1, "L", "g", "p", "t", "s", "d", dt.date(2024, 1, 1), 1.0, 2, 3)],
+        "seq int, lead_id string, product_group string, product string, tb string, current_status string, deal_stage string, "
+        "report_date date, days_on_stage double, x int, y int",
+    )
+    return sliced_records(df, SWITCHES)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_funnel(spark):
     df = spark.createDataFrame(
         [("L1", 1, "t"), ("L1", 2, "t"), ("L2", 3, "u"), (" ", 4, "u"), (None, 5, "u")],
