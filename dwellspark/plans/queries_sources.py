@@ -22,6 +22,8 @@ from dwellspark.operators.tracking import add_durations
 from dwellspark.plans.fixtures import event_reports, stage_reports, table, team_members
 from dwellspark.plans.registry import cte, query
 from dwellspark.session import ensure_checkpoint_dir
+from dwellspark.sources.folders import load_folder
+from dwellspark.sources.rejects import BROKEN_LINE, accepted, fault_counts, file_counts, with_faults
 from dwellspark.sources.reports import load_reports, normalize_reports, project_required, with_category
 from dwellspark.sources.rosters import load_team
 from dwellspark.sources.sinks import partition_counts, read_csv, write_csv, write_split, write_table
@@ -72,6 +74,124 @@ def q_load_reports(spark, sf):
     )
 
 
+MIXED_HEADERS = {
+    "lead_id": ("ID", "lead number"),
+    "report_date": "date",
+    "current_status": ("Status", "state"),
+    "days_on_stage": "days",
+    "label": "note",
+}
+# How each third of the lines names, orders and types its columns.
+_VARIANTS = (
+    {"ID": "l_orderkey", "Date": "cast(l_shipdate as date)", "STATUS": "l_returnflag", "Days": "l_quantity", "note": "l_linestatus"},
+    {"days ": "cast(cast(l_quantity as int) as string)", " date": "date_format(l_shipdate, 'dd.MM.yyyy')", "more": "l_tax",
+     "state": "concat(' ', l_returnflag)", "Lead Number": "concat(l_orderkey, '.0')"},
+    {"status": "l_returnflag", "note": "l_linestatus", "days": "cast(l_quantity as float)", "id": "cast(l_orderkey as double)",
+     "DATE": "l_shipdate"},
+)
+
+
+def _mixed_folder(spark, sf, fmt):
+    """Lines as files with three kinds of headers, one folder below the other."""
+    path = _scratch(spark, f"mixed-{fmt}")
+    line = table(spark, sf, "lineitem")
+    for i, variant in enumerate(_VARIANTS):
+        part = line.filter(F.col("l_linenumber") % 3 == i).select(*[F.expr(e).alias(c) for c, e in variant.items()])
+        if fmt == "csv":
+            write_csv(part, f"{path}/{i}/{'deep' if i else ''}")
+        else:
+            part.write.parquet(f"{path}/{i}/{'deep' if i else ''}")
+    return path
+
+
+_MIXED_SQL = """SELECT cast(l_orderkey AS varchar) AS lead_id, cast(l_shipdate AS date) AS report_date,
+       l_returnflag AS current_status, l_quantity AS days_on_stage,
+       CASE WHEN l_linenumber % 3 <> 1 THEN l_linestatus END AS label FROM lineitem"""
+
+
+@query("q_load_mixed_headers", _MIXED_SQL)
+def q_load_mixed_headers(spark, sf):
+    """A folder of files with three headers and three sets of types, one scan for each."""
+    rows = load_folder(spark, _mixed_folder(spark, sf, "parquet"), MIXED_HEADERS, required=NEEDED, pattern="*.parquet")
+    return rows.select("lead_id", "report_date", "current_status", F.col("days_on_stage").cast("double"), "label")
+
+
+@query("q_load_mixed_csv", _MIXED_SQL)
+def q_load_mixed_csv(spark, sf):
+    """The same as delimited text, where columns are found by the header of each file."""
+    rows = load_folder(
+        spark, _mixed_folder(spark, sf, "csv"), MIXED_HEADERS, "csv", required=NEEDED, pattern="*.csv", sep=";"
+    )
+    return rows.select("lead_id", "report_date", "current_status", "days_on_stage", "label")
+
+
+_PARTS = {"early": "l_linenumber <= 2", "late": "l_linenumber > 2"}
+
+
+def _checked_lines(spark, sf):
+    """Lines as text with dates and numbers that do not exist, leads that are missing and lines that are
+    cut, in two folders; loaded with their faults."""
+    path = _scratch(spark, "faulty")
+    turn = F.col("l_orderkey") % 11
+    values = [
+        F.when(turn == 1, "-").otherwise(F.col("l_orderkey").cast("string")),
+        F.when(turn == 2, "31.02.1998").when(turn == 3, "").otherwise(F.date_format("l_shipdate", "dd.MM.yyyy")),
+        F.when(turn == 4, "a week").when(turn == 3, "nan").otherwise(F.col("l_quantity").cast("string")),
+        F.col("l_returnflag"),
+    ]
+    text = F.when(turn == 5, F.concat_ws(";", *values[:3])).otherwise(F.concat_ws(";", *values))
+    out = []
+    for part, where in _PARTS.items():
+        # A line is one text, and its header the name of the only column.
+        lines = table(spark, sf, "lineitem").filter(where).select(text.alias("lead;date;days;status"))
+        lines.write.options(header=True, quote="", sep="\x01").csv(f"{path}/{part}")
+        headers = {"lead_id": "lead", "report_date": "date", "days_on_stage": "days", "current_status": "status"}
+        rows = load_folder(
+            spark, f"{path}/{part}", headers, "csv", NEEDED, "*.csv", keep_corrupt=True, normalise=with_faults, sep=";"
+        )
+        out.append(rows.withColumn("part", F.lit(part)))
+    return out[0].unionByName(out[1])
+
+
+cte(
+    "faulty",
+    """SELECT *, l_orderkey % 11 AS turn, CASE WHEN l_linenumber <= 2 THEN 'early' ELSE 'late' END AS part FROM lineitem""",
+)
+
+
+@query(
+    "q_fault_counts",
+    """SELECT part, kind.col AS column, kind.reason AS reason, count(*) AS faults FROM faulty JOIN (VALUES
+         (1, 'lead_id', 'no lead'), (2, 'report_date', 'unreadable date'), (4, 'days_on_stage', 'unreadable number'),
+         (5, '_corrupt_record', 'line does not fit its header')) AS kind(turn, col, reason) ON faulty.turn = kind.turn
+       GROUP BY part, kind.col, kind.reason""",
+)
+def q_fault_counts(spark, sf):
+    """What could not be read, per source and reason."""
+    return fault_counts(_checked_lines(spark, sf), ("part",))
+
+
+@query(
+    "q_load_log",
+    """SELECT part, count(*) AS file_rows, count(*) FILTER (turn IN (1, 2, 4, 5)) AS faulty_rows FROM faulty GROUP BY part""",
+)
+def q_load_log(spark, sf):
+    return file_counts(_checked_lines(spark, sf), ("part",))
+
+
+@query(
+    "q_accepted_rows",
+    """SELECT CASE WHEN turn <> 1 THEN cast(l_orderkey AS varchar) END AS lead_id,
+       CASE WHEN turn NOT IN (2, 3) THEN cast(l_shipdate AS date) END AS report_date,
+       CASE WHEN turn NOT IN (3, 4) THEN l_quantity END AS days_on_stage, l_returnflag AS current_status
+       FROM faulty WHERE turn <> 5""",
+)
+def q_accepted_rows(spark, sf):
+    """Rows stay with nulls where a value was at fault; here lines that do not fit their header go."""
+    kept = accepted(_checked_lines(spark, sf), [BROKEN_LINE])
+    return kept.select("lead_id", "report_date", "days_on_stage", "current_status")
+
+
 @query(
     "q_project_required",
     """SELECT l_orderkey AS lead_id, l_shipdate AS report_date, l_returnflag AS current_status,

@@ -6,7 +6,7 @@ built; frames that several parts read are written once to reliable storage.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import cache
 from typing import Any
 
@@ -23,6 +23,7 @@ from dwellspark.operators.exceedance import exceedance, exceedance_detail, excee
 from dwellspark.operators.filters import (
     apply_filters,
     excluded_stages,
+    keep_expr,
     ordered_filters,
     rank_pool,
     terminal_rows_out,
@@ -36,7 +37,7 @@ from dwellspark.operators.funnel import (
     pipeline_filters,
 )
 from dwellspark.operators.norms import norms, norms_export
-from dwellspark.operators.quality import lead_coverage, missing_days
+from dwellspark.operators.quality import RowCounts, lead_coverage, missing_days
 from dwellspark.operators.slices import slice_catalog, sliced_records
 from dwellspark.operators.snapshot import lead_snapshot, snapshot_export
 from dwellspark.operators.teams import (
@@ -105,9 +106,24 @@ def report(
     run_order = [f.name for f in pipeline_filters(filters, order)]
     raw = add_durations(reports, s["duration_source"])
 
+    counts = RowCounts()
+
     @cache
     def rows() -> DataFrame:
-        return materialise(ordered_filters(raw, filters, run_order))
+        if "row_audit" not in wanted:
+            return materialise(ordered_filters(raw, filters, run_order))
+        # The write that is needed anyway counts the rows of every step.
+        steps = pipeline_filters(filters, order)
+        left, plain = counts.watch(raw, "loaded"), raw
+        for spec in steps:
+            keep = keep_expr(plain, spec)
+            if keep is not None:
+                left, plain = left.filter(keep), plain.filter(keep)
+            left = counts.watch(left, spec.name, spec.description or spec.name)
+        return materialise(left)
+
+    def row_audit() -> DataFrame:
+        return counts.table(rows().sparkSession)
 
     @cache
     def records() -> DataFrame:
@@ -182,6 +198,7 @@ def report(
         "violations": lambda: with_mail(M.violations(entries(), snapshot())),
         "lead_coverage": lambda: lead_coverage(rows(), snapshot()),
         "missing_days": lambda: missing_days(records()),
+        "row_audit": row_audit,
         "source_export": lambda: with_people(
             ordered_filters(reports, s["source_filters"], s["source_filters_order"])
         ),
@@ -190,10 +207,7 @@ def report(
     for name, layout, include_status in s["matrix_layouts"]:
         builders[name] = lambda a=layout, b=include_status: X.duration_matrix(matrix(b), b, a)
     wanted = list(builders) if parts is None else list(parts)
-    unknown = [p for p in wanted if p not in builders]
-    if unknown:
-        raise ValueError(f"unknown report parts: {unknown}; known: {sorted(builders)}")
-    return {p: builders[p]() for p in wanted}
+    return _chosen(builders, wanted)
 
 
 def rosters(team: DataFrame | tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -209,111 +223,164 @@ def leaders_of_nobody(rows: DataFrame) -> DataFrame:
     )
 
 
+def _chosen(builders: dict[str, Callable[[], DataFrame]], parts: Iterable[str] | None) -> dict[str, DataFrame]:
+    wanted = list(builders) if parts is None else list(parts)
+    unknown = [p for p in wanted if p not in builders]
+    if unknown:
+        raise ValueError(f"unknown report parts: {unknown}; known: {sorted(builders)}")
+    return {p: builders[p]() for p in wanted}
+
+
 def dashboard(
     reports: DataFrame,
     spec: dict[str, Any] | None = None,
     team: DataFrame | tuple[DataFrame, DataFrame] | None = None,
+    parts: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables behind the dashboard: slices, series, pivots, dimension lists and manager analysis."""
+    """Tables behind the dashboard: slices, series, pivots, dimension lists and manager analysis.
+
+    Only what the `parts` need is computed.
+    """
     s = {**DEFAULTS, "metrics": ("days_on_stage", "days_since_deal"), **(spec or {})}
     filters = s["filters"]
-    options = {
-        "level": s["stage_analysis_mode"],
-        "product_mode": s["product_analysis_mode"],
-        "dedup_agg": s["dedup_same_date_agg"],
-    }
     group_only = s["product_analysis_mode"] == "group_only"
     raw = add_durations(reports, s["duration_source"])
     clipping = {
         "clip_rules": s["clip_rules"], "min_group_size": s["min_group_size"], "min_remaining": s["min_remaining"],
     }
-    sliced = materialise(sliced_records(raw, filters, **options))
-    table = materialise(
-        norms(sliced, SPOT, s["metrics"], s["percentiles"], km=None, tags=["slice_key"], **clipping)
-    )
-    flat = P.pivot_flat(table, s["metrics"], s["percentiles"], group_only, tags=["slice_key"])
-    hist = materialise(H.series_histogram(sliced, ("slice_key", "product_group", "product", "stage_key"), s["metrics"]))
     keys = ["slice_key", "tb", "product_group", "product", "stage_key", "metric"]
-    out = {
-        "manifest": slice_manifest(sliced, slice_catalog(raw.sparkSession, filters)),
-        "pivot_flat": flat,
-        "distribution": H.distribution(hist, keys),
-        "series_summary": H.percentile_stats(hist, keys, s["percentiles"], "days"),
-        "stage_order": P.stage_order(sliced, s["stages_order"], excluded_stages(filters)),
-        "dimensions": P.dimensions(raw),
-        "product_pairs": P.product_pairs(raw),
-        "stage_map": P.stage_map(raw),
-        "group_products": P.group_products(raw),
+
+    @cache
+    def sliced() -> DataFrame:
+        return materialise(sliced_records(raw, filters, **_tracking(s)))
+
+    @cache
+    def table() -> DataFrame:
+        return materialise(
+            norms(sliced(), SPOT, s["metrics"], s["percentiles"], km=None, tags=["slice_key"], **clipping)
+        )
+
+    @cache
+    def hist() -> DataFrame:
+        return materialise(H.series_histogram(sliced(), [k for k in keys if k not in ("tb", "metric")], s["metrics"]))
+
+    builders = {
+        "manifest": lambda: slice_manifest(sliced(), slice_catalog(raw.sparkSession, filters)),
+        "pivot_flat": lambda: P.pivot_flat(table(), s["metrics"], s["percentiles"], group_only, tags=["slice_key"]),
+        "distribution": lambda: H.distribution(hist(), keys),
+        "series_summary": lambda: H.percentile_stats(hist(), keys, s["percentiles"], "days"),
+        "stage_order": lambda: P.stage_order(sliced(), s["stages_order"], excluded_stages(filters)),
+        "dimensions": lambda: P.dimensions(raw),
+        "product_pairs": lambda: P.product_pairs(raw),
+        "stage_map": lambda: P.stage_map(raw),
+        "group_products": lambda: P.group_products(raw),
     }
     if s["max_distribution_points"]:
-        out["distribution_points"] = H.downsample(hist, keys, s["max_distribution_points"])
-    out.update(manager_analytics(raw, s, team))
-    return out
+        builders["distribution_points"] = lambda: H.downsample(hist(), keys, s["max_distribution_points"])
+    return _chosen(builders | _manager_builders(raw, s, team), parts)
 
 
-def manager_analytics(raw: DataFrame, s: dict[str, Any], team: DataFrame | None) -> dict[str, DataFrame]:
-    """Exceedances, rankings and charts of the managers, on the newest report date."""
-    rows = materialise(terminal_rows_out(apply_filters(raw, s["filters"]), s["filters"]))
-    options = {
+def _tracking(s: dict[str, Any]) -> dict[str, Any]:
+    return {
         "level": s["stage_analysis_mode"],
         "product_mode": s["product_analysis_mode"],
         "dedup_agg": s["dedup_same_date_agg"],
     }
-    table = norms(
-        lead_stage_records(rows, **options), SPOT, percentiles=s["percentiles"], clip_rules=s["clip_rules"],
-        min_group_size=s["min_group_size"], min_remaining=s["min_remaining"], km=None,
-    )
-    latest = manager_records(rows, s["latest_only"], **options)
-    detail = materialise(
+
+
+def manager_analytics(
+    raw: DataFrame, s: dict[str, Any], team: DataFrame | tuple[DataFrame, DataFrame] | None,
+    parts: Iterable[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Exceedances, rankings and charts of the managers, on the newest report date."""
+    return _chosen(_manager_builders(raw, {**DEFAULTS, **s}, team), parts)
+
+
+def _manager_builders(
+    raw: DataFrame, s: dict[str, Any], team: DataFrame | tuple[DataFrame, DataFrame] | None
+) -> dict[str, Callable[[], DataFrame]]:
+    @cache
+    def detail() -> DataFrame:
+        rows = materialise(terminal_rows_out(apply_filters(raw, s["filters"]), s["filters"]))
+        table = norms(
+            lead_stage_records(rows, **_tracking(s)), SPOT, percentiles=s["percentiles"], clip_rules=s["clip_rules"],
+            min_group_size=s["min_group_size"], min_remaining=s["min_remaining"], km=None,
+        )
+        latest = manager_records(rows, s["latest_only"], **_tracking(s))
         # Without teams the ranking is by manager, so records without one have no place in it.
-        exceedance_detail(latest, materialise(table), s["exceedance_percentile"], need_km=not s["rank_by_team"])
-    )
-    totals, facts = M.manager_totals(detail), M.km_facts(detail)
-    pool = rank_pool(detail, **s["rank_selection"])
-    people, team_rows = pool, None
-    if team is not None and s["rank_by_team"]:
+        found = exceedance_detail(latest, materialise(table), s["exceedance_percentile"], need_km=not s["rank_by_team"])
+        return materialise(found)
+
+    @cache
+    def totals() -> DataFrame:
+        return M.manager_totals(detail())
+
+    @cache
+    def facts() -> DataFrame:
+        return M.km_facts(detail())
+
+    @cache
+    def team_rows() -> DataFrame | None:
+        if team is None or not s["rank_by_team"]:
+            return None
         lead, deal = rosters(team)
-        team_rows = compose_team(
-            detail, latest_leaders(lead, "lead_id", True), latest_leaders(deal, "deal_id", True), list(RECORD)
+        found = compose_team(
+            detail(), latest_leaders(lead, "lead_id", True), latest_leaders(deal, "deal_id", True), list(RECORD)
         )
-        team_rows = materialise(team_rows)
-        people = materialise(M.explode_members(pool, team_rows, list(RECORD)))
-    top = materialise(M.top_managers(M.manager_totals(people), s["top_managers"]))
-    spots = materialise(M.hotspots(M.exceedances_by_product(people), top, s["top_hotspots"]))
-    items = M.stuck_items(people, spots, s["top_stuck_items"])
+        return materialise(found)
+
+    @cache
+    def people() -> DataFrame:
+        pool = rank_pool(detail(), **s["rank_selection"])
+        return pool if team_rows() is None else materialise(M.explode_members(pool, team_rows(), list(RECORD)))
+
+    @cache
+    def top() -> DataFrame:
+        return materialise(M.top_managers(M.manager_totals(people()), s["top_managers"]))
+
+    def ranked() -> DataFrame:
+        spots = materialise(M.hotspots(M.exceedances_by_product(people()), top(), s["top_hotspots"]))
+        items = M.stuck_items(people(), spots, s["top_stuck_items"])
+        return M.ranked_with_hotspots(top(), spots, items, team_rows(), list(RECORD))
+
     return {
-        "lead_records": lead_records(detail),
-        "exceedances": exceedances(detail),
+        "lead_records": lambda: lead_records(detail()),
+        "exceedances": lambda: exceedances(detail()),
         "manager_totals": totals,
-        "detail_by_product": M.exceedances_by_product(detail),
-        "km_by_tb": M.violations_by_tb(totals),
+        "detail_by_product": lambda: M.exceedances_by_product(detail()),
+        "km_by_tb": lambda: M.violations_by_tb(totals()),
         "km_facts": facts,
-        "km_by_segment": M.facts_by_segment(facts),
-        "km_charts": M.chart_groups(totals, facts, "km_by_tb", s["chart_bars"]),
-        "manager_dimensions": P.manager_dimensions(detail),
-        "top_managers": M.ranked_with_hotspots(top, spots, items, team_rows, list(RECORD)),
-        "top_by_tb": M.top_grouped(top),
+        "km_by_segment": lambda: M.facts_by_segment(facts()),
+        "km_charts": lambda: M.chart_groups(totals(), facts(), "km_by_tb", s["chart_bars"]),
+        "manager_dimensions": lambda: P.manager_dimensions(detail()),
+        "top_managers": ranked,
+        "top_by_tb": lambda: M.top_grouped(top()),
     }
 
 
 def write(
     tables: dict[str, DataFrame], path: str, fmt: str = "parquet", row_limit: int = 900_000,
-    split_by: str | None = None, sep: str = ";",
+    split_by: str | None = None, sep: str = ";", mode: str = "overwrite",
 ) -> None:
     """Write the tables of a run, each into its own folder, in the format asked for.
 
     With `split_by` the filtered export gets one folder per value of that column; files end at
-    `row_limit` rows.
+    `row_limit` rows. Mode `replace` keeps the folders of values that this run does not have.
     """
     for name, df in tables.items():
         by = split_by if name == "filtered_export" and split_by in df.columns else None
-        write_table(df, f"{path}/{name}", fmt, by, row_limit, sep)
+        write_table(df, f"{path}/{name}", fmt, by, row_limit, sep, "overwrite" if by is None and mode == "replace" else mode)
 
 
-def write_dashboard(tables: dict[str, DataFrame], path: str, split: bool = True) -> None:
-    """Dashboard data as JSON: the sliced tables by slice with their manifest, the others whole."""
-    write_slices(tables["pivot_flat"], tables["manifest"], f"{path}/pivot", split)
-    write_slices(tables["distribution"], tables["manifest"], f"{path}/distribution", split)
+def write_dashboard(
+    tables: dict[str, DataFrame], path: str, split: bool = True, mode: str = "overwrite"
+) -> None:
+    """Dashboard data as JSON: the sliced tables by slice with their manifest, the others whole.
+
+    Mode `replace` rewrites the slices that the manifest of these tables names and keeps the others.
+    """
+    write_slices(tables["pivot_flat"], tables["manifest"], f"{path}/pivot", split, mode)
+    write_slices(tables["distribution"], tables["manifest"], f"{path}/distribution", split, mode)
     for name, df in tables.items():
         if name not in ("pivot_flat", "distribution", "manifest"):
             json_safe(df).write.mode("overwrite").json(f"{path}/{name}")
