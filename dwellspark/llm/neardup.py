@@ -175,7 +175,7 @@ def _groups(nodes: DataFrame) -> DataFrame:
 def _estimate(percent: int):
     """Candidates whose union sketch allows the threshold, with the estimate."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())])
-    floors = {}
+    floors: dict[int, int] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +198,9 @@ def _estimate(percent: int):
                 if k == len(both):
                     good = common * 100 >= percent * size
                 else:
-                    good = common >= floors.setdefault(size, overlap_floor(size, percent))
+                    if size not in floors:
+                        floors[size] = overlap_floor(size, percent)
+                    good = common >= floors[size]
                 if good:
                     out[i] = common / size
             keep = out >= 0
