@@ -229,6 +229,8 @@ def histogram(hist: DataFrame, keys: Sequence[str], max_bars: int = 36) -> DataF
 
 def bucket_defs(hist: DataFrame, chart: Sequence[str], max_bars: int = 24) -> DataFrame:
     """Buckets shared by all series of a chart, numbered from 0."""
+    if not chart:
+        return bucket_defs(hist.withColumn("_all", F.lit(0)), ["_all"], max_bars).drop("_all")
     frame = _bucket_frame(hist, chart, max_bars)
     wide = frame.filter(~F.col("per_day")).select(
         *chart,
@@ -245,7 +247,7 @@ def bucket_defs(hist: DataFrame, chart: Sequence[str], max_bars: int = 24) -> Da
     narrow_keys = frame.filter("per_day").select(*chart)
     days = _known(hist).select(*chart, "day").distinct()
     on = [days[c].eqNullSafe(narrow_keys[c]) for c in chart]
-    narrow = days.join(narrow_keys, on, "left_semi") if chart else days.join(narrow_keys, how="left_semi")
+    narrow = days.join(narrow_keys, on, "left_semi")
     number = F.row_number().over(Window.partitionBy(*chart).orderBy("day")) - 1
     narrow = narrow.select(*chart, number.alias("bucket"), F.col("day").alias("start_day"), F.col("day").alias("end_day"))
     return wide.unionByName(narrow)
@@ -254,36 +256,47 @@ def bucket_defs(hist: DataFrame, chart: Sequence[str], max_bars: int = 24) -> Da
 def aligned_histogram(
     hist: DataFrame, chart: Sequence[str], series: Sequence[str], max_bars: int = 24
 ) -> DataFrame:
-    """Leads per common bucket and series of a chart; empty buckets count zero."""
-    buckets = bucket_defs(hist, chart, max_bars)
-    names = hist.select(*chart, *series).distinct()
-    b = buckets.select(*[F.col(c).alias(f"b_{c}") for c in chart], "bucket", "start_day", "end_day")
-    frame = names.join(b, [names[c].eqNullSafe(b[f"b_{c}"]) for c in chart]).drop(*[f"b_{c}" for c in chart])
-    # A day lies in exactly one bucket, so the counts are re-keyed first and joined on equality.
-    placed = _place(hist, chart, max_bars).groupBy(*chart, *series, "start_day").agg(F.sum("cnt").alias("cnt"))
-    on = [*chart, *series, "start_day"]
-    right = placed.select(*[F.col(c).alias(f"p_{c}") for c in on], "cnt")
-    joined = frame.join(right, [frame[c].eqNullSafe(right[f"p_{c}"]) for c in on], "left")
-    return joined.select(
-        *chart, *series, "bucket", "start_day", "end_day", F.coalesce("cnt", F.lit(0)).cast("long").alias("leads")
-    )
+    """Leads per common bucket and series of a chart; empty buckets count zero.
 
-
-def _place(hist: DataFrame, chart: Sequence[str], max_bars: int) -> DataFrame:
-    """Histogram rows with the first day of their bucket."""
-    frame = _bucket_frame(hist, chart, max_bars)
-    f = frame.select(*[F.col(c).alias(f"f_{c}") for c in chart], "min_day", "size", "per_day")
-    known = _known(hist)
-    joined = known.join(f, [known[c].eqNullSafe(f[f"f_{c}"]) for c in chart]).drop(*[f"f_{c}" for c in chart])
-    index = F.floor((F.col("day") - F.col("min_day")) / F.col("size"))
-    start = F.when(F.col("per_day"), F.col("day")).otherwise(F.col("min_day") + index * F.col("size"))
-    return joined.withColumn("start_day", start)
+    The histogram is read once: windows over a chart give its ends, its distinct days and the bucket of
+    every row. What follows has at most `max_bars` entries per series.
+    """
+    if not chart:
+        return aligned_histogram(hist.withColumn("_all", F.lit(0)), ["_all"], series, max_bars).drop("_all")
+    by = Window.partitionBy(*chart)
+    known = F.col("day").isNotNull()
+    rank = F.dense_rank().over(by.orderBy(F.col("day").asc_nulls_last()))
+    framed = hist.withColumns({"_low": F.min("day").over(by), "_high": F.max("day").over(by), "_rank": rank})
+    framed = framed.withColumn("_days", F.max(F.when(known, F.col("_rank"))).over(by))
+    span = F.col("_high") - F.col("_low") + 1
+    width = F.greatest(F.lit(1), F.ceil(span / F.lit(max_bars))).cast("long")
+    # Width 0: every day is a bucket of its own.
+    framed = framed.withColumn("_size", F.when(F.col("_days") <= max_bars, F.lit(0).cast("long")).otherwise(width))
+    wide = F.col("_low") + F.floor((F.col("day") - F.col("_low")) / F.col("_size")) * F.col("_size")
+    start = F.when(F.col("_size") == 0, F.col("day")).otherwise(wide)
+    frame = ["_low", "_high", "_size"]
+    counts = framed.groupBy(*chart, *series, *frame, start.alias("_start")).agg(F.sum("cnt").alias("cnt"))
+    pairs = F.collect_list(F.when(F.col("_start").isNotNull(), F.struct("_start", "cnt")))
+    held = counts.groupBy(*chart, *series, *frame).agg(F.map_from_entries(pairs).alias("_counts"))
+    days = counts.groupBy(*chart).agg(F.array_sort(F.collect_set(F.when(F.col("_size") == 0, F.col("_start")))).alias("_starts"))
+    right = days.select(*[F.col(c).alias(f"d_{c}") for c in chart], "_starts")
+    joined = held.join(right, [held[c].eqNullSafe(right[f"d_{c}"]) for c in chart], "left")
+    steps = F.when(F.col("_size") > 0, F.sequence("_low", "_high", F.greatest("_size", F.lit(1))))
+    starts = F.coalesce(steps, F.col("_starts"))
+    out = joined.select(*chart, *series, *frame, "_counts", F.posexplode(starts).alias("bucket", "start_day"))
+    end = F.when(F.col("_size") == 0, F.col("start_day")).otherwise(
+        F.least(F.col("start_day") + F.col("_size") - 1, F.col("_high"))
+    )
+    leads = F.coalesce(F.try_element_at("_counts", F.col("start_day")), F.lit(0)).cast("long")
+    return out.select(*chart, *series, "bucket", "start_day", end.alias("end_day"), leads.alias("leads"))
 
 
 def bucket_of_percentile(
     hist: DataFrame, chart: Sequence[str], series: Sequence[str], p: float = 80, max_bars: int = 24
 ) -> DataFrame:
     """Number of the common bucket that holds the percentile of each series."""
+    if not chart:
+        return bucket_of_percentile(hist.withColumn("_all", F.lit(0)), ["_all"], series, p, max_bars).drop("_all")
     keys = [*chart, *series]
     day = f"days_{percentile_label(p)}_days"
     stats = percentile_stats(hist, keys, [p], "days").select(*keys, F.col(day).alias("day"))

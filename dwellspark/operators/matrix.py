@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from dwellspark.functions.text import strip, whole_days
 from dwellspark.operators.histogram import percentile_label, percentile_stats
 from dwellspark.operators.norms import attach
 from dwellspark.operators.ranking import numbered
+from dwellspark.session import materialise
 
 
 def row_keys(include_status: bool) -> list[str]:
@@ -62,30 +63,40 @@ def matrix_percentiles(
     )
 
 
-def duration_matrix(counts: DataFrame, include_status: bool = False, layout: str = "by_volume") -> DataFrame:
+def duration_matrix(
+    counts: DataFrame,
+    include_status: bool = False,
+    layout: str = "by_volume",
+    cut: Callable[[DataFrame], DataFrame] = materialise,
+) -> DataFrame:
     """Cells with the positions of their row and day in a layout.
 
     Layouts: by_volume (rows and days by leads), alpha_days (names, then days),
-    group_alpha_product_volume (group by name, product by leads inside it).
+    group_alpha_product_volume (group by name, product by leads inside it). The counts are used for
+    rows, days and cells, so they are written once by `cut`; rows and days get their places in one sort.
     """
+    counts = cut(counts)
     keys = row_keys(include_status)
     names = [F.lower(k) for k in keys] + [F.col(k) for k in keys]
-    rows = counts.groupBy(*keys).agg(F.sum("cnt").alias("row_total"))
-    if layout == "by_volume":
-        order = [F.desc("row_total"), *names]
-    elif layout == "group_alpha_product_volume":
-        rows = rows.withColumn(
-            "_volume", F.sum("row_total").over(Window.partitionBy("product_group", "product"))
-        )
-        order = [F.lower("product_group"), F.desc("_volume"), *names[1:]]
+    rows = counts.groupBy(*keys).agg(F.sum("cnt").alias("total"))
+    volume = F.lit(None).cast("long")
+    if layout == "group_alpha_product_volume":
+        volume = F.sum("total").over(Window.partitionBy("product_group", "product"))
+        order = [F.lower("product_group"), F.desc("_volume"), *names[1:], F.col("day")]
+    elif layout == "by_volume":
+        order = [F.desc("total"), *names, F.col("day")]
     else:
-        order = names
-    rows = numbered(rows, order, "row_position").drop("_volume")
-    days = counts.groupBy("day").agg(F.sum("cnt").alias("day_total"))
-    by_day = [F.desc("day_total"), F.col("day")] if layout == "by_volume" else [F.col("day")]
-    days = numbered(days, by_day, "day_position")
-    placed = attach(counts, rows, keys, "inner")
-    return placed.join(days, "day").select(
+        order = [*names, F.col("day")]
+    rows = rows.withColumn("_volume", volume).select(F.lit("row").alias("_kind"), "*")
+    days = counts.groupBy("day").agg(F.sum("cnt").alias("total")).select(F.lit("day").alias("_kind"), "*")
+    placed = numbered(rows.unionByName(days, allowMissingColumns=True), order, "position", within="_kind")
+    of_row = placed.filter(F.col("_kind") == "row").select(
+        *keys, F.col("total").alias("row_total"), F.col("position").alias("row_position")
+    )
+    of_day = placed.filter(F.col("_kind") == "day").select(
+        "day", F.col("total").alias("day_total"), F.col("position").alias("day_position")
+    )
+    return attach(counts, of_row, keys, "inner").join(of_day, "day").select(
         *keys, "day", "cnt", "row_total", "day_total", "row_position", "day_position"
     )
 

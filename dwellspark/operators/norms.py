@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark import constants as K
@@ -210,3 +210,20 @@ def stats_nested(
             ).alias(m)
         )
     return table.select(*keys, F.struct(*per_metric).alias("metrics"))
+
+
+def stats_variant(
+    table: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[str] = ("days_on_stage",),
+    percentiles: Sequence[float] = (20, 50, 80),
+) -> DataFrame:
+    """The nested records as one variant column: runs with other metrics or percentiles keep the schema."""
+    nested = stats_nested(table, keys, metrics, percentiles)
+    return nested.withColumn("metrics", F.to_variant_object("metrics"))
+
+
+def statistic(metric: str, part: str, percentile: float | None = None, column: str = "metrics", kind: str = "long") -> Column:
+    """One number of a variant by its path; null if the run did not compute it."""
+    inner = f"percentiles.{percentile_label(percentile)}." if percentile is not None else ""
+    return F.try_variant_get(F.col(column), f"$.{metric}.{inner}{part}", kind)

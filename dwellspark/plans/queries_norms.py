@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dwellspark.operators.clipping import clip
+from dwellspark.operators.distinct import distinct_rollup
 from dwellspark.operators.exceedance import exceedance, exceedance_detail, exceedances, lead_records
 from dwellspark.operators.filters import ordered_filters
 from dwellspark.operators.funnel import audit_summary, group_funnel, norms_with_funnel
 from dwellspark.operators.histogram import day_histogram, percentile_stats
-from dwellspark.operators.norms import norms, norms_export, one_territory, stats_by_group, stats_nested, with_overall
+from dwellspark.operators.norms import (
+    norms,
+    norms_export,
+    one_territory,
+    statistic,
+    stats_by_group,
+    stats_nested,
+    stats_variant,
+    with_overall,
+)
 from dwellspark.operators.slices import slice_catalog
 from dwellspark.operators.snapshot import lead_snapshot
 from dwellspark.operators.tracking import lead_stage_records, manager_records
@@ -343,6 +353,40 @@ def q_stats_nested(spark, sf):
     )
 
 
+@query(
+    "q_stats_variant",
+    """SELECT tb, product_group, product, current_status, days_on_stage_min AS min_days, days_on_stage_p50_days AS p50_days,
+       days_on_stage_p80_gt_count AS p80_gt, CAST(NULL AS bigint) AS p95_days FROM no1""",
+)
+def q_stats_variant(spark, sf):
+    """Statistics as one variant column, written and read back; single percentiles by their path."""
+    held = materialise(stats_variant(run_norms(spark, sf), ["tb", *KEYS]))
+    return held.select(
+        "tb", *KEYS, statistic("days_on_stage", "min").alias("min_days"),
+        statistic("days_on_stage", "days", 50).alias("p50_days"), statistic("days_on_stage", "gt_count", 80).alias("p80_gt"),
+        statistic("days_on_stage", "days", 95).alias("p95_days"),
+    )
+
+
+_LEVELS = (("tb", *KEYS), ("tb", "product_group"), ("tb",), ("product_group",), ())
+
+
+@query(
+    "q_distinct_rollup",
+    " UNION ALL ".join(
+        f"""SELECT {i} AS level, {', '.join(k if k in level else f'CAST(NULL AS varchar) AS {k}' for k in ('tb', *KEYS))},
+            count(DISTINCT lead_id) AS n_lead_id, count(DISTINCT CASE WHEN km <> 'Supplier#000000001' THEN km END) AS n_km
+            FROM sr {('GROUP BY ' + ', '.join(level)) if level else ''}"""
+        for i, level in enumerate(_LEVELS)
+    ),
+)
+def q_distinct_rollup(spark, sf):
+    """Distinct leads and managers on five levels from bitmaps that are made once."""
+    rows = stage_reports(spark, sf, "tb", *KEYS, "lead_id", "km")
+    some = rows.withColumn("km", F.when(F.col("km") != "Supplier#000000001", F.col("km")))
+    return distinct_rollup(some, _LEVELS, ["lead_id", "km"])
+
+
 SLICE_GROUP = ("is_all", "tb", "slice_key", *KEYS)
 cte("ss", both_scopes("sl_rec"))
 cte("sc1", clip_sql("ss", UNIQUE_RULE[0], "unique", SLICE_GROUP))

@@ -205,7 +205,7 @@ def report(
         "filtered_export": lambda: with_people(rows()),
     }
     for name, layout, include_status in s["matrix_layouts"]:
-        builders[name] = lambda a=layout, b=include_status: X.duration_matrix(matrix(b), b, a)
+        builders[name] = lambda a=layout, b=include_status: X.duration_matrix(matrix(b), b, a, cut=lambda df: df)
     wanted = list(builders) if parts is None else list(parts)
     return _chosen(builders, wanted)
 
