@@ -21,7 +21,7 @@ from dwellspark.functions.text import (
 )
 from dwellspark.operators.ranking import first_numbered, numbered
 from dwellspark.operators.norms import attach
-from dwellspark.operators.teams import distinct_roles
+from dwellspark.operators.teams import beside_leaders, distinct_roles
 
 SPOT = ("tb", "km", "product_group", "product", "stage_key", "analysis_level")
 
@@ -325,7 +325,8 @@ def manager_entries(
     """Manager x lead rows: the leaders if the lead has any, else its two managers.
 
     Needs lead_id, deal_id, tb, km, vks, product_group, product and exceeded.
-    `ord` is the order of the entries: lead, source, leader.
+    `ord` is the order of the entries: lead, source, leader. The snapshot is read once and joined once
+    with each roster; the managers are those of rows that found nobody.
     """
     group, product = F.coalesce("product_group", F.lit("")), F.coalesce("product", F.lit(""))
     gp = F.when((group != "") | (product != ""), F.concat(group, F.lit(": "), product)).otherwise(F.lit(""))
@@ -339,48 +340,44 @@ def manager_entries(
         gp.alias("group_product"),
         "exceeded",
     )
-    seq_type = lead_leaders.schema["seq"].dataType
-
-    def leaders(frame: DataFrame, key: str, source: int, role: str) -> DataFrame:
-        l = frame.select("id", "name", "tab_number", F.col("role").alias("l_role"), F.col("tb").alias("l_tb"), "seq")
-        joined = base.join(l, F.col(key) == F.col("id"))
-        return joined.select(
-            "lead_id",
-            F.lit(source).alias("source"),
-            F.col("seq").alias("ord"),
-            "tab_number",
-            "name",
-            F.coalesce(F.when(F.col("l_role") != "", F.col("l_role")), F.lit(role)).alias("role"),
-            F.coalesce(F.when(F.col("l_tb") != "", F.col("l_tb")), F.col("lead_tb"), F.lit("")).alias("tb"),
-            "group_product",
-            "exceeded",
+    rows = beside_leaders(base, lead_leaders, deal_leaders, F.col("_lead"), F.col("_deal"))
+    no_order = F.lit(None).cast(lead_leaders.schema["seq"].dataType)
+
+    def leader(p: str, here: Column, source: int, role: str) -> Column:
+        return F.when(
+            here,
+            F.struct(
+                F.lit(source).alias("source"),
+                F.col(f"{p}_seq").alias("ord"),
+                F.col(f"{p}_tab_number").alias("tab_number"),
+                F.col(f"{p}_name").alias("name"),
+                F.coalesce(F.when(F.col(f"{p}_role") != "", F.col(f"{p}_role")), F.lit(role)).alias("role"),
+                F.coalesce(F.when(F.col(f"{p}_tb") != "", F.col(f"{p}_tb")), F.col("lead_tb"), F.lit("")).alias("tb"),
+            ),
         )
 
-    ids = lead_leaders.select(F.col("id").alias("h_id")).distinct()
-    deal_ids = deal_leaders.select(F.col("id").alias("h_id")).distinct()
-    lonely = base.join(ids, F.col("_lead") == F.col("h_id"), "left_anti")
-    lonely = lonely.join(deal_ids, F.col("_deal") == F.col("h_id"), "left_anti")
-    pair = F.array(
-        F.struct(F.lit(2).alias("source"), person_name(F.col("km")).alias("name"), F.lit(K.ROLE_KM_SUMMARY).alias("role")),
-        F.struct(F.lit(3).alias("source"), person_name(F.col("vks")).alias("name"), F.lit(K.ROLE_VKS).alias("role")),
-    )
-    managers = lonely.select("*", F.inline(pair)).filter(F.col("name").isNotNull())
-    managers = managers.select(
-        "lead_id",
-        "source",
-        F.lit(None).cast(seq_type).alias("ord"),
-        F.lit(None).cast("string").alias("tab_number"),
-        "name",
-        "role",
-        F.coalesce("lead_tb", F.lit("")).alias("tb"),
-        "group_product",
-        "exceeded",
-    )
-    entries = (
-        leaders(lead_leaders, "_lead", 0, K.ROLE_LEAD_LEADER)
-        .unionByName(leaders(deal_leaders, "_deal", 1, K.ROLE_DEAL_LEADER))
-        .unionByName(managers)
+    def manager(column: str, source: int, role: str) -> Column:
+        name = person_name(F.col(column))
+        alone = F.col("_l_no").isNull() & F.col("_d_no").isNull()
+        return F.when(
+            alone & name.isNotNull(),
+            F.struct(
+                F.lit(source).alias("source"),
+                no_order.alias("ord"),
+                F.lit(None).cast("string").alias("tab_number"),
+                name.alias("name"),
+                F.lit(role).alias("role"),
+                F.coalesce("lead_tb", F.lit("")).alias("tb"),
+            ),
+        )
+
+    found = F.array(
+        leader("_l", F.col("_l_here"), 0, K.ROLE_LEAD_LEADER),
+        leader("_d", F.col("_d_no").isNotNull(), 1, K.ROLE_DEAL_LEADER),
+        manager("km", 2, K.ROLE_KM_SUMMARY),
+        manager("vks", 3, K.ROLE_VKS),
     )
+    entries = rows.select("lead_id", "group_product", "exceeded", F.inline(F.array_compact(found)))
     return entries.withColumn("manager_key", manager_key(F.col("tab_number"), F.col("name")))
 
 

@@ -154,12 +154,46 @@ def leader_lines(leaders: DataFrame, prefix: str) -> DataFrame:
 def attach_leaders(df: DataFrame, leaders: DataFrame, id_col: str, prefix: str) -> DataFrame:
     """Leader columns next to every row; empty ids match nobody."""
     lines = leader_lines(leaders, prefix).withColumnRenamed("id", "l_id")
-    # Rows without an id would all meet in one task: each gets one of many keys that no leader has.
-    nobody = F.concat(F.lit("\u0000"), F.pmod(F.monotonically_increasing_id(), F.lit(NOBODY_KEYS)).cast("string"))
-    keyed = df.withColumn("_leader_key", F.coalesce(id_token(F.col(id_col)), nobody))
+    keyed = df.withColumn("_leader_key", _own_key(id_token(F.col(id_col))))
     return keyed.join(lines, F.col("_leader_key") == F.col("l_id"), "left").drop("l_id", "_leader_key")
 
 
+def _own_key(key: Column) -> Column:
+    """The key, or one of many that nobody has, so that rows without one do not meet in one task."""
+    nobody = F.concat(F.lit("\u0000"), F.pmod(F.monotonically_increasing_id(), F.lit(NOBODY_KEYS)).cast("string"))
+    return F.coalesce(key, nobody)
+
+
+def _in_line(leaders: DataFrame, prefix: str) -> DataFrame:
+    """Leaders with `<prefix>_no`, their number among those of an id."""
+    number = F.row_number().over(Window.partitionBy("id").orderBy("seq", "name"))
+    return leaders.select(
+        *[F.col(c).alias(f"{prefix}_{c}") for c in ("id", "name", "tab_number", "role", "tb", "seq") if c in leaders.columns],
+        number.alias(f"{prefix}_no"),
+    )
+
+
+def beside_leaders(
+    base: DataFrame, lead_leaders: DataFrame, deal_leaders: DataFrame, lead: Column, deal: Column | None
+) -> DataFrame:
+    """Rows of `base` with the leaders of their lead (`_l_*`) and of their deal (`_d_*`), in one pass.
+
+    A row comes once per leader of the lead, and its first copy once per leader of the deal, so both
+    are there once each: `_l_here` says where a leader of the lead counts, `_first` where the row itself
+    does. Both joins keep rows that have no leader.
+    """
+    with_lead = base.withColumn("_l_key", _own_key(lead)).join(
+        _in_line(lead_leaders, "_l"), F.col("_l_key") == F.col("_l_id"), "left"
+    )
+    first = F.coalesce("_l_no", F.lit(1)) == 1
+    key = F.when(first, deal) if deal is not None else F.lit(None).cast("string")
+    both = with_lead.withColumn("_d_key", _own_key(key)).join(
+        _in_line(deal_leaders, "_d"), F.col("_d_key") == F.col("_d_id"), "left"
+    )
+    once = F.coalesce("_d_no", F.lit(1)) == 1
+    return both.withColumns({"_l_here": F.col("_l_no").isNotNull() & once, "_first": first & once}).drop("_l_key", "_d_key")
+
+
 def team_entries(
     detail: DataFrame,
     lead_leaders: DataFrame,
@@ -167,40 +201,25 @@ def team_entries(
     keys: Sequence[str],
 ) -> DataFrame:
     """One row per record, person and role: lead leaders, deal leaders, manager, second manager."""
-    base = detail.select(*keys, *[c for c in ("deal_id", "km", "vks") if c in detail.columns and c not in keys])
-
-    def of_leaders(leaders: DataFrame, id_col: str, source: int, prefix: str) -> DataFrame:
-        l = leaders.select(
-            F.col("id").alias("l_id"), F.col("name"), F.col("role").alias("l_role"), F.col("seq").alias("l_seq")
-        )
-        joined = base.join(l, id_token(F.col(id_col)) == F.col("l_id"))
-        return joined.select(
-            *keys,
-            F.lit(source).alias("source"),
-            F.col("l_seq").alias("ord"),
-            "name",
-            role_label(prefix, F.col("l_role")).alias("role"),
-        )
-
-    parts = [of_leaders(lead_leaders, "lead_id", 0, K.LEAD_TEAM_PREFIX)]
-    if "deal_id" in base.columns:
-        parts.append(of_leaders(deal_leaders, "deal_id", 1, K.DEAL_TEAM_PREFIX))
-    order_type = lead_leaders.schema["seq"].dataType
+    own = [c for c in ("lead_id", "deal_id", "km", "vks") if c in detail.columns and c not in keys]
+    base = detail.select(*keys, *own)
+    deal = id_token(F.col("deal_id")) if "deal_id" in base.columns else None
+    rows = beside_leaders(base, lead_leaders, deal_leaders, id_token(F.col("lead_id")), deal)
+    no_order = F.lit(None).cast(lead_leaders.schema["seq"].dataType)
+
+    def entry(here: Column, source: int, order: Column, name: Column, role: Column) -> Column:
+        fields = (F.lit(source).alias("source"), order.alias("ord"), name.alias("name"), role.alias("role"))
+        return F.when(here, F.struct(*fields))
+
+    parts = [
+        entry(F.col("_l_here"), 0, F.col("_l_seq"), F.col("_l_name"), role_label(K.LEAD_TEAM_PREFIX, F.col("_l_role"))),
+        entry(F.col("_d_no").isNotNull(), 1, F.col("_d_seq"), F.col("_d_name"), role_label(K.DEAL_TEAM_PREFIX, F.col("_d_role"))),
+    ]
     for source, column, role in ((2, "km", K.ROLE_KM), (3, "vks", K.ROLE_VKS)):
         if column in base.columns:
-            parts.append(
-                base.select(
-                    *keys,
-                    F.lit(source).alias("source"),
-                    F.lit(None).cast(order_type).alias("ord"),
-                    person_name(F.col(column)).alias("name"),
-                    F.lit(role).alias("role"),
-                ).filter(F.col("name").isNotNull())
-            )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+            name = person_name(F.col(column))
+            parts.append(entry(F.col("_first") & name.isNotNull(), source, no_order, name, F.lit(role)))
+    return rows.select(*keys, F.inline(F.array_compact(F.array(*parts))))
 
 
 def compose_team(

@@ -169,9 +169,10 @@ def report(
     @cache
     def entries() -> DataFrame:
         none = leaders_of_nobody(rows())
-        return M.manager_entries(
+        found = M.manager_entries(
             snapshot(), leaders("lead") if team is not None else none, leaders("deal") if team is not None else none
         )
+        return materialise(found) if {"manager_summary", "violations"} <= set(wanted) else found
 
     def with_mail(df: DataFrame) -> DataFrame:
         return df if contacts is None else attach_contacts(df, contacts)
