@@ -1,3 +1,5 @@
+import time
+
 from dwellspark.llm import extract
 
 
@@ -74,3 +76,27 @@ def test_short_parts_of_an_article_without_its_element():
     assert extract.main_text(source).split("\n")[-2:] == [(LONG * 9).strip(), "Short, but whole."]
     source = page(f'<div class="all"><div class="title"><h1>Title</h1></div><div class="intro"><p>A lead.</p></div><div class="text"><p>{LONG * 9}</p></div></div>')
     assert extract.main_text(source).split("\n") == ["Title", "A lead.", (LONG * 9).strip()]
+
+
+def test_comments_stay_out_whatever_they_weigh():
+    comments = "".join(f"<p>{LONG * 2}</p>" for _ in range(6))
+    inside = page(f'<article><p>{LONG}</p><div class="comments">{comments}</div></article>')
+    assert extract.main_text(inside) == LONG.strip()
+    after = page(f"<article><p>{LONG}</p></article><div>{comments * 3}</div>")
+    assert extract.main_text(after) == LONG.strip()
+    around = page(f'<div class="comments"><h1>Title</h1><p>{LONG * 3}</p><p>{LONG * 3}</p></div>')
+    assert extract.main_text(around).split("\n") == ["Title", *[(LONG * 3).strip()] * 2]
+
+
+def test_parts_of_an_article_that_are_links_or_details():
+    source = page(f'<article><p>{LONG * 3}</p><p><a href="/x">A whole paragraph, as a link.</a></p><details><summary>More</summary>{LONG}</details><p>{LONG}</p></article>')
+    want = [(LONG * 3).strip(), "A whole paragraph, as a link.", "More", LONG.strip(), LONG.strip()]
+    assert extract.main_text(source).split("\n") == want
+
+
+def test_hostile_pages_take_time_in_proportion():
+    for piece in ("<a b='", '<a b="', "<b>x</b> ", "<![CDATA[", "<!x", "<!--", "<", "</b>", "<b>", "<div>", "<p><i>", "<a href=x>y", "<td>", "&lt;", "<hr>"):
+        source = piece * (300_000 // len(piece))
+        began = time.process_time()
+        extract.main_text(f"<p>{LONG}</p>" + source)
+        assert time.process_time() - began < 5, piece
