@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,13 @@ LEAF_CHARS = 65_536
 FIRST_WINDOW = 64
 #: Equal tokens that count as agreement inside a word.
 RUN = 16
-#: Words that a worker remembers before it starts anew.
-REMEMBERED = 1_500_000
+#: Bytes that a worker's memory of words and pieces may take, what an entry of it takes besides its
+#: characters, and characters of a word above which it is encoded each time.
+REMEMBERED, ENTRY, LONG_WORD = 64 << 20, 220, 200
+#: Bytes of text whose words are looked up together.
+GROUP_BYTES = 1 << 21
+#: Words not found, as a multiple of those remembered, after which a memory starts anew.
+RENEWED = 8
 WORD_END = "</w>"
 #: Fixed value: how the vocabulary's splitter cuts a word without white space.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -49,6 +55,8 @@ class Codec:
     path: str
     words: dict[str, bytes] = field(default_factory=dict)
     pieces: dict[str, bytes] = field(default_factory=dict)
+    held: int = 0
+    missed: int = 0
 
     def __post_init__(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,37 +77,65 @@ class Codec:
 
     def ids(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
-        if ODD_SPACE.search(text) or self.special.search(text):
-            return self.directly(text)
-        words = text.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            missing = {w for w in words if w not in self.words}
-            if len(self.words) + len(missing) > REMEMBERED:
-                # Known words of this text go too, so all of it is learned anew.
-                self.words.clear()
-                self.pieces.clear()
-                missing = set(words)
-            self.learn(missing)
-            return b"".join(map(self.words.__getitem__, words))
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Words that are not remembered are encoded once for all of the texts."""
+        plain = [None if ODD_SPACE.search(t) or self.special.search(t) else t.split() for t in texts]
+        known = self.words
+        missing = {w for words in plain if words is not None for w in words} - known.keys()
+        new, pieces = self.learn(missing) if missing else ({}, {})
+        known.update(new)
+        lookup = known.__getitem__
+        out = [
+            self.directly(t) if words is None else b"".join(map(lookup, words))
+            for t, words in zip(texts, plain, strict=True)
+        ]
+        for word in new:
+            del known[word]
+        self.remember(new, pieces)
+        return out
+
+    def remember(self, words: dict[str, bytes], pieces: dict[str, bytes]) -> None:
+        """Adds to the memory while there is room.
+
+        Frequent words come early, so a full memory stays as it is. It starts anew when so many words
+        were not in it that the texts are likely to have become others.
+        """
+        for memory, new in ((self.words, words), (self.pieces, pieces)):
+            self.missed += len(new)
+            for key, ids in new.items():
+                size = len(key) + len(ids) + ENTRY
+                if self.held + size > REMEMBERED:
+                    break
+                if len(key) <= LONG_WORD:
+                    memory[key] = ids
+                    self.held += size
+        if self.missed > RENEWED * (len(self.words) + len(self.pieces) + 1):
+            self.words.clear()
+            self.pieces.clear()
+            self.held = self.missed = 0
 
     def directly(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of words that are not remembered, and of their pieces that are not."""
+        out: dict[str, bytes] = {}
         cut: dict[str, list[str]] = {}
         for word in words:
             # Beyond Latin letters, lower case and composition are left to the tokenizer itself.
             if word.isascii() or (max(word) < "İ" and unicodedata.is_normalized("NFC", word)):
                 cut[word] = PIECES.findall(word.lower())
             else:
-                self.words[word] = self.directly(word)
-        new = list({p for parts in cut.values() for p in parts if p not in self.pieces})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
+                out[word] = self.directly(word)
+        known = self.pieces
+        missing = list({p for parts in cut.values() for p in parts if p not in known})
+        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        new = {p: np.array(x.ids, "<u4").tobytes() for p, x in zip(missing, found, strict=True)}
         for word, parts in cut.items():
-            self.words[word] = b"".join(map(self.pieces.__getitem__, parts))
+            out[word] = b"".join([known[p] if p in known else new[p] for p in parts])
+        return out, new
 
     def decode(self, ids: bytes) -> str:
         numbers = np.frombuffer(ids, "<u4").tolist()
@@ -195,12 +231,24 @@ def _digest(own: Codec, ids: bytes) -> tuple[int, str, str]:
     return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with about GROUP_BYTES of text each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+    start = 0
+    while start < len(batch):
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + GROUP_BYTES, side="right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _short(path: str, full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            coded = [own.ids(text) for text in batch.column("text").to_pylist()]
-            yield _rows(own, batch.column("doc_id"), coded, full)
+            for part in _groups(batch):
+                coded = own.ids_of(part.column("text").to_pylist())
+                yield _rows(own, part.column("doc_id"), coded, full)
 
     return run
 

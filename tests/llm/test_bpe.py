@@ -36,10 +36,13 @@ def test_words_and_decoding_equal_the_tokenizer(own):
 
 
 def test_words_are_forgotten_without_loss(own, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 4)
-    fresh = bpe.Codec(VOCABULARY)
-    for text in ("the cat sat", "the dog ran off", "the dog and one two three four five six", "the cat", "don't the don't"):
-        assert fresh.ids(text) == np.array(direct(own, text)[0], "<u4").tobytes()
+    # Room for a few words; then for nothing at all.
+    for room in (6 * bpe.ENTRY, 0):
+        monkeypatch.setattr(bpe, "REMEMBERED", room)
+        fresh = bpe.Codec(VOCABULARY)
+        for text in ("the cat sat", "the dog ran off", "the dog and one two three four five six", "the cat", "don't the don't", "q" * 500 + " the " + "q" * 500):
+            assert fresh.ids(text) == np.array(direct(own, text)[0], "<u4").tobytes()
+            assert fresh.held <= room and max(map(len, [*fresh.words, *fresh.pieces]), default=0) <= bpe.LONG_WORD
 
 
 @pytest.mark.parametrize("size", [7, 40, 150])
