@@ -6,8 +6,8 @@ holds an item of n words if some run of its words is at most ``edits(n)`` word e
 1. *Embedding.* A walk over the words writes the current word at each step and moves on or stays,
    as a random bit of step and word says. Sequences a few edits apart fall into step again soon after
    an edit, so edit distance becomes Hamming distance of the written strings.
-2. *Sampling.* Each of REPEATS walks keeps SAMPLES of its places; windows and items that agree on them
-   are candidates. Windows start at every word, are as long as the items of their length class, and
+2. *Sampling.* Each of REPEATS walks keeps some of its places, fewer of longer items, whose walks are in
+   step on a smaller share of their way; windows and items that agree on them are candidates. Windows start at every word, are as long as the items of their length class, and
    are taken where they share as many runs of words with the benchmark as the distance demands (an
    item loses at most GRAM of its runs to an edit), which loses none.
 3. *Verification.* The exact edit distance of the item to the best run of words around the window.
@@ -32,8 +32,10 @@ from dwellspark.llm.tables import whole_text
 #: Edits allowed per hundred words; items below SHORT words must occur as they are.
 PERCENT, SHORT = 20, 6
 GRAM = 3
-#: Walks, and places kept of each; recall of items at the limit is measured in the tests.
-REPEATS, SAMPLES = 16, 3
+#: Walks of an item; recall of items at the limit is measured in the tests, length by length.
+REPEATS = 16
+#: Places that are kept of a walk, by the most words of an item that keeps so many.
+SAMPLES = ((16, 3), (60, 2))
 #: Bytes of items that are looked for in one pass.
 BLOCK_BYTES = 8 << 20
 #: Next length class: so many percent longer.
@@ -50,6 +52,10 @@ def edits(words: int) -> int:
     return words * PERCENT // 100 if words >= SHORT else 0
 
 
+def samples(size: int) -> int:
+    return next((kept for words, kept in SAMPLES if size <= words), 1)
+
+
 def word_runs(hashes: np.ndarray, size: int) -> np.ndarray:
     total = np.zeros(max(len(hashes) - size + 1, 0), np.uint64)
     for j in range(size):
@@ -77,7 +83,7 @@ def signatures(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: in
     ends = np.minimum(ends, starts + size)
     rng = np.random.default_rng(1000 * size + repeat)
     steps = max(2 * size - 1, 1)
-    places = np.sort(rng.choice(steps, min(SAMPLES, steps), replace=False))
+    places = np.sort(rng.choice(steps, min(samples(size), steps), replace=False))
     total = np.full(len(starts), np.uint64(repeat))
     last = int(places[-1]) + 1
     for step, now in enumerate(walk(words, starts, ends, last, repeat)):

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from dwellspark.llm import decontam
 from tests.llm.conftest import sentence
@@ -58,6 +59,28 @@ def test_recall_at_the_limit_and_no_false_find(spark):
     assert exact and exact <= set(found)
 
 
+@pytest.mark.parametrize("kinds", ["mixed", "replaced"])
+@pytest.mark.parametrize("n", [8, 16, 17, 30, 50, 100, 200, 400])
+def test_recall_at_the_limit_by_length(n, kinds):
+    rng = random.Random(n)
+    items, docs = [], []
+    for _ in range(60):
+        item = words(n, rng)
+        items.append(" ".join(item))
+        left = list(item)
+        for at in rng.sample(range(n), decontam.edits(n)) if kinds == "replaced" else ():
+            left[at] = "new"
+        for _ in range(decontam.edits(n) if kinds == "mixed" else 0):
+            at, kind = rng.randrange(len(left)), rng.random()
+            left[at : at + (kind > 0.35)] = ["new"] if kind < 0.7 else []
+        docs.append(" ".join(words(80, rng) + left + words(80, rng)))
+    index = decontam.Index(list(range(len(items))), decontam._item_words(items))
+    found = 0
+    for i, doc in enumerate(decontam._item_words(docs)):
+        found += (0, i) in index.search(doc, np.array([0, len(doc)]))
+    assert found >= 0.95 * len(items), found / len(items)
+
+
 def test_edges(documents, spark):
     items = spark.createDataFrame([(1, "alpha beta"), (2, None), (3, "!!!"), (4, "one two three four five six seven")], "item_id long, text string")
     docs = documents(
