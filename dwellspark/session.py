@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", context.master):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="dwellspark-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
