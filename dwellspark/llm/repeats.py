@@ -37,6 +37,8 @@ from dwellspark.llm.tables import stored, whole_text
 LENGTH = 400
 #: Bytes of an anchor.
 GRAM = 32
+#: A gram is hot from this share of the anchors (one in SHARES) and this number of them on.
+SHARES, LEAST_HOT = 1000, 256
 #: Low bits of a key that hold the place; the high bits hold the hash.
 PLACE = np.uint64((1 << 28) - 1)
 
@@ -235,6 +237,23 @@ def _repeated_starts(suffixes: DataFrame) -> DataFrame:
     return met.filter((F.col("edge") == 0) | (F.col("lo") != F.col("hi"))).select("key", "low", "high")
 
 
+def _repeated_anchors(anchors: DataFrame, again: DataFrame) -> DataFrame:
+    """Anchors whose gram is in ``again`` (gram, n), without the gram.
+
+    A gram of more than one in SHARES of all anchors is cut into parts by the place of the anchor, and its row
+    of ``again`` comes once per part, so no task gets all anchors of a common line.
+    """
+    total = again.agg(F.sum("n")).first()[0] or 0
+    most = max(LEAST_HOT, total // SHARES)
+    parts = F.ceil(F.col("n") / most).cast("int")
+    # No more than SHARES grams can be that frequent, which bounds what is broadcast.
+    hot = again.filter(F.col("n") > most).select("gram", parts.alias("parts"))
+    part = F.coalesce(F.pmod("place", F.col("parts")).cast("int"), F.lit(0)).alias("part")
+    left = anchors.join(F.broadcast(hot), "gram", "left").select(*anchors.columns, part)
+    right = again.select("gram", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("part"))
+    return left.join(right, ["gram", "part"]).drop("gram", "part", "place")
+
+
 def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH) -> DataFrame:
     """``row, ranges, copies``: first and last starts of repeated strings.
 
@@ -247,10 +266,13 @@ def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH)
     lowest, highest = F.min("place").alias("lo"), F.max("place").alias("hi")
     # Copies of a text have the same anchors; each stays once. Both uses share the exchange.
     anchors = anchors.distinct()
-    again = (
-        anchors.groupBy("gram").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter(twice).select("gram")
+    again = stored(
+        anchors.groupBy("gram")
+        .agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n"))
+        .filter(twice)
+        .select("gram", "n")
     )
-    shared = stored(anchors.join(again, "gram").drop("gram")).withColumn("place", place)
+    shared = stored(_repeated_anchors(anchors.withColumn("place", place), again)).withColumn("place", place)
     contexts = shared.groupBy("context").agg(lowest, highest)
     known = shared.join(contexts, "context").withColumn("torn", ~twice)
     inner = known.filter(twice).select("key", (F.col("pos") + GRAM - length).alias("low"), F.col("pos").alias("high"))

@@ -43,6 +43,14 @@ def test_against_brute_force(documents):
     assert sorted((r[0] if r[0] is not None else -1, *tuple(r)[1:]) for r in got) == brute(rows, 400)
 
 
+def test_hot_grams_are_cut_into_parts_without_loss(documents, monkeypatch):
+    monkeypatch.setattr(repeats, "LEAST_HOT", 3)
+    monkeypatch.setattr(repeats, "SHARES", 50)
+    rows = cases()
+    got = repeats.repeat_digest(documents(rows)).collect()
+    assert sorted((r[0] if r[0] is not None else -1, *tuple(r)[1:]) for r in got) == brute(rows, 400)
+
+
 def test_kept_texts_keep_characters_and_columns(documents):
     rng = random.Random(1)
     noise = lambda n: "".join(rng.choice("aéßz ") for _ in range(n))
