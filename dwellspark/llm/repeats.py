@@ -237,21 +237,19 @@ def _repeated_starts(suffixes: DataFrame) -> DataFrame:
     return met.filter((F.col("edge") == 0) | (F.col("lo") != F.col("hi"))).select("key", "low", "high")
 
 
-def _repeated_anchors(anchors: DataFrame, again: DataFrame) -> DataFrame:
-    """Anchors whose gram is in ``again`` (gram, n), without the gram.
+def _in_parts(anchors: DataFrame, groups: DataFrame, key: str, most: int) -> DataFrame:
+    """``anchors`` (with ``place``) joined with the row of their group; ``groups`` has the key and ``n``.
 
-    A gram of more than one in SHARES of all anchors is cut into parts by the place of the anchor, and its row
-    of ``again`` comes once per part, so no task gets all anchors of a common line.
+    A group of more than ``most`` anchors is cut into parts by the place of the anchor, and its row comes
+    once per part, so no task gets all anchors of a common line. ``most`` is a share of all anchors, so
+    few groups are that large: what is broadcast has SHARES rows at most.
     """
-    total = again.agg(F.sum("n")).first()[0] or 0
-    most = max(LEAST_HOT, total // SHARES)
     parts = F.ceil(F.col("n") / most).cast("int")
-    # No more than SHARES grams can be that frequent, which bounds what is broadcast.
-    hot = again.filter(F.col("n") > most).select("gram", parts.alias("parts"))
+    hot = groups.filter(F.col("n") > most).select(key, parts.alias("parts"))
     part = F.coalesce(F.pmod("place", F.col("parts")).cast("int"), F.lit(0)).alias("part")
-    left = anchors.join(F.broadcast(hot), "gram", "left").select(*anchors.columns, part)
-    right = again.select("gram", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("part"))
-    return left.join(right, ["gram", "part"]).drop("gram", "part", "place")
+    left = anchors.join(F.broadcast(hot), key, "left").select(*anchors.columns, part)
+    right = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    return left.join(right.drop("n"), [key, "part"]).drop("part")
 
 
 def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -272,9 +270,11 @@ def repeated_ranges(texts: DataFrame, anchors: DataFrame, length: int = LENGTH)
         .filter(twice)
         .select("gram", "n")
     )
-    shared = stored(_repeated_anchors(anchors.withColumn("place", place), again)).withColumn("place", place)
-    contexts = shared.groupBy("context").agg(lowest, highest)
-    known = shared.join(contexts, "context").withColumn("torn", ~twice)
+    most = max(LEAST_HOT, (again.agg(F.sum("n")).first()[0] or 0) // SHARES)
+    placed = anchors.withColumn("place", place)
+    shared = stored(_in_parts(placed, again, "gram", most).drop("gram", "place")).withColumn("place", place)
+    contexts = shared.groupBy("context").agg(lowest, highest, F.count("*").alias("n"))
+    known = _in_parts(shared, contexts, "context", most).withColumn("torn", ~twice)
     inner = known.filter(twice).select("key", (F.col("pos") + GRAM - length).alias("low"), F.col("pos").alias("high"))
     sides = (
         known.filter(F.col("place") == F.col("lo"))
