@@ -17,6 +17,8 @@ _PYTHON_FORMATS = (
     "%d.%m.%Y", "%d.%m.%y", "%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y", "%d-%m-%Y", "%Y.%m.%d", "%Y/%m/%d", "%Y%m%d",
     "%d %b %Y", "%d %B %Y", "%b %d, %Y", "%B %d, %Y",
 )
+#: Two separators between digits: a date, never a number. Told apart first, because a failed cast throws for every row.
+_DATED = r"^\d+[./-]\d+[./-]"
 _TIME = r"([T ]+\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?)$"
 
 
@@ -27,13 +29,28 @@ def parse_date(
     empty: Sequence[str] = K.EMPTY_DATE,
 ) -> Column:
     """Date from text: a day serial in range, or the first pattern that fits; else null."""
-    text = strip(c)
-    serial = number(text)
     low, high = K.SERIAL_DATE_RANGE
-    day = F.initcap(F.regexp_replace(text, _TIME, ""))
-    parsed = F.coalesce(*[_by_pattern(day, p) for p in patterns])
-    in_range = F.when(serial.between(low, high + 1), F.floor(serial).cast("int"))
-    return F.when(~is_empty(c, empty), F.coalesce(F.date_add(F.lit(origin).cast("date"), in_range), parsed))
+
+    def read(text: Column) -> Column:
+        serial = F.when(~text.rlike(_DATED), number(text))
+        day = F.initcap(F.regexp_replace(text, _TIME, ""))
+        parsed = F.coalesce(*[F.when(text.rlike(_shape(p)), _by_pattern(day, p)) for p in patterns])
+        in_range = F.when(serial.between(low, high + 1), F.floor(serial).cast("int"))
+        return F.when(~is_empty(text, empty), F.coalesce(F.date_add(F.lit(origin).cast("date"), in_range), parsed))
+
+    # As an element the text is trimmed once, and the code of all patterns stays out of the generated method of
+    # the stage, which is interpreted when it grows too long to be compiled.
+    return F.get(F.transform(F.array(strip(c)), read), F.lit(0))
+
+
+def _shape(pattern: str) -> str:
+    """What a text must look like to be tried with the pattern; a failed try throws for every row."""
+    if set(pattern) & set("[]{}'#"):
+        return ""
+    fields = {"yyyy": r"[+-]?\d{4,}", "yy": r"\d\d", "d": r"[+-]?\d+", "M": r"[+-]?\d+", "MM": r"\d\d", "dd": r"\d\d"}
+    runs = re.finditer(r"([A-Za-z])\1*|[^A-Za-z]+", pattern)
+    shape = "".join(fields.get(r[0], ".+") if r[1] else re.escape(r[0]) for r in runs)
+    return rf"^{shape}(?:$|[T ])"
 
 
 def _by_pattern(day: Column, pattern: str) -> Column:

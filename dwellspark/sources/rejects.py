@@ -51,7 +51,10 @@ def with_faults(
             faults.append(_fault(field.name, before, BROKEN_LINE, before.isNotNull()))
     listed = F.array_compact(F.array(*faults)) if faults else F.array()
     kind = "array<struct<column:string,value:string,reason:string>>"
-    return plain.withColumn(FAULTS, listed.cast(kind)).drop("_raw", CORRUPT)
+    # A column that is not deterministic keeps filters on the faults above it; moved below, they would read every
+    # value a second time.
+    once = F.when(F.monotonically_increasing_id() >= 0, listed.cast(kind))
+    return plain.withColumn(FAULTS, once).drop("_raw", CORRUPT)
 
 
 def accepted(checked: DataFrame, without: Sequence[str] = ()) -> DataFrame:

@@ -142,7 +142,7 @@ def normalize_reports(
             dated = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
             c = c.cast("date") if dated else parse_date(c, dates, empty=empty_tokens)
         elif kind == "number":
-            c = number(c) if not isinstance(dtype, T.NumericType) else number(c.cast("double"))
+            c = number(c) if not isinstance(dtype, T.NumericType) else F.nanvl(c.cast("double"), F.lit(None).cast("double"))
         elif kind == "flag":
             c = c.cast("int") if isinstance(dtype, T.IntegralType) else number(c).cast("int")
         elif kind == "text":

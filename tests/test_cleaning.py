@@ -111,3 +111,16 @@ def test_required_columns(spark):
     assert project_required(df, {"lead_id": "LEAD ID", "x": "nope"}, ["lead_id"]).columns == ["lead_id"]
     with pytest.raises(ValueError, match="missing columns: x"):
         project_required(df, {"lead_id": "LEAD ID", "x": "nope"}, ["lead_id", "x"])
+
+
+def plan_of(spark, fn):
+    return fn(spark.range(1).selectExpr("string(id) AS v"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_date_is_tried_only_with_patterns_of_its_shape(spark, column):
+    plan = plan_of(spark, lambda df: df.select(parse_date(df["v"])))
+    assert plan.count("trim(cast(id") == 1 and plan.count("RLIKE") >= 13
+    values = ["31.02.1998", "1.2.3.4", "+1.+2.2024", "1.2.12024", "01.02.2024T10:20", "1.2.2024x", "a week", "1 MAY 2024", "45000f"]
+    d = dt.date
+    assert column(values, parse_date) == [None, None, None, None, d(2024, 2, 1), None, None, d(2024, 5, 1), d(2023, 3, 15)]
+    assert column(["1.2.2024"], lambda c: parse_date(c, ["d.M.yyyy[ H]"])) == [d(2024, 2, 1)]

@@ -148,3 +148,15 @@ def test_one_slice_is_rewritten_alone_and_the_manifest_names_what_is_there(spark
     assert rows(read_slices(spark, path, schema), *schema.names) == [("a+b", 7.0, []), ("none", 2.0, [2, 3]), ("none", None, None)]
     assert rows(read_slices(spark, path, schema, ["a+b"]), "v") == [(7.0,)]
     assert rows(spark.read.json(f"{path}/manifest"), "slice_key", "record_count") == [("a+b", 5), ("none", 2)]
+
+
+def test_faults_are_found_by_one_reading_of_a_date(spark, tmp_path):
+    put(tmp_path / "o/one.csv", "ID;Date;days\n1;31.02.2024;5\n2;01.02.2024;7\n3\n")
+    checked = load_folder(
+        spark, str(tmp_path / "o"), HEADERS, "csv", NEEDED, keep_corrupt=True, normalise=with_faults, sep=";"
+    )
+    kept = accepted(checked, [BROKEN_LINE])
+    assert sorted(r["lead_id"] for r in kept.collect()) == ["1", "2"]
+    for df in (kept, fault_counts(checked), file_counts(checked)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(", d.M.yyyy,") == 1
