@@ -87,14 +87,12 @@ def tab_number(c: Column, width: int = K.TAB_NUMBER_WIDTH) -> Column:
     """Employee number: digits only, padded to `width`; null when there is no digit."""
     text = strip(c)
     dotted = F.replace(text, F.lit(","), F.lit("."))
-    value = F.when(text.contains(".") & dotted.rlike(_DECIMAL), dotted.try_cast("double"))
-    digits = F.when(
-        value == F.floor(value), value.cast("decimal(38,0)").cast("string")
-    ).otherwise(F.regexp_replace(text, r"[^0-9]", ""))
-    bare = F.ltrim(digits, F.lit("0"))
-    bare = F.when(bare == "", F.lit("0")).otherwise(bare)
-    padded = F.when(F.length(bare) <= width, F.lpad(bare, width, "0")).otherwise(bare)
-    return F.when(~is_empty(c, K.EMPTY_ID) & (digits != ""), padded)
+    value = dotted.try_cast("double")
+    whole = text.contains(".") & dotted.rlike(_DECIMAL) & (value == F.floor(value))
+    # Named once, because a nested expression is computed wherever it is named.
+    digits = F.when(whole, value.cast("decimal(38,0)").cast("string")).otherwise(F.regexp_replace(text, r"[^0-9]", ""))
+    padded = F.regexp_replace(F.concat(F.lit("0" * width), digits), rf"^0+(?=.{{{width}}})", "")
+    return F.when(~is_empty(c, K.EMPTY_ID) & text.rlike("[0-9]"), padded)
 
 
 def tab_number_lines(c: Column) -> Column:

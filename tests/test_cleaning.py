@@ -124,3 +124,10 @@ def test_a_date_is_tried_only_with_patterns_of_its_shape(spark, column):
     d = dt.date
     assert column(values, parse_date) == [None, None, None, None, d(2024, 2, 1), None, None, d(2024, 5, 1), d(2023, 3, 15)]
     assert column(["1.2.2024"], lambda c: parse_date(c, ["d.M.yyyy[ H]"])) == [d(2024, 2, 1)]
+
+
+def test_a_tab_number_names_its_text_a_bounded_number_of_times(spark, column):
+    plan = plan_of(spark, lambda df: df.select(tab_number(df["v"])))
+    assert plan.count("trim(cast(id") <= 12
+    values = ["0", "00 00", "000000012", "0012345678", "000000000000", "-12.0", "12,5.", "№"]
+    assert column(values, tab_number) == ["00000000", "00000000", "00000012", "12345678", "00000000", "00000-12", "00000125", None]
