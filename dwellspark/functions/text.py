@@ -150,18 +150,22 @@ def client_name(
         return "|".join(re.escape(n) for n in sorted(names, key=lambda n: (-len(n), n)))
 
     form, glued = f"(?iu:{any_of(short)})", f"(?:{any_of(set(short.values()))})"
-    place = rf"[«\"'(\[]\s*{form}\.?\s*[»\"')\]]|{form}\.?|{glued}(?=[A-Za-zА-Яа-яЁё0-9«\"'(\[])"
     known = F.create_map(*[F.lit(x) for pair in short.items() for x in pair])
+    # Looked at first, so that most places of a name are passed by one look.
+    begins = "|".join([r"[«\"'(\[]", f"(?iu:{any_of({n[0] for n in short})})", any_of({n[0] for n in short.values() if n})])
+    place = rf"(?={begins})(?:[«\"'(\[]\s*{form}\.?\s*[»\"')\]]|{form}\.?|{glued}(?=[A-Za-zА-Яа-яЁё0-9«\"'(\[]))"
+    # What lies before a place, and the place; a split by an expression would compile it for every row.
+    step = F.lit(rf"([\s\S]*?)({place}|\z)")
 
     def abbreviation(found: Column) -> Column:
         bare = F.lower(F.regexp_extract(found, form, 0))
         return F.concat(F.coalesce(F.element_at(known, F.nullif(bare, F.lit(""))), found), F.lit(" "))
 
-    between = F.split(text, place, -1)
-    found = F.transform(F.regexp_extract_all(text, F.lit(place), F.lit(0)), abbreviation)
-    tail = F.array_join(F.transform(F.arrays_zip(between.alias("b"), found.alias("f")), lambda x: F.concat(x["b"], F.coalesce(x["f"], F.lit("")))), "")
-    name = F.when(F.size(found) > 0, _tidy(tail)).otherwise(_tidy(text))
-    return F.when(name != "", name)
+    steps = F.arrays_zip(
+        F.regexp_extract_all(text, step, F.lit(1)).alias("b"), F.regexp_extract_all(text, step, F.lit(2)).alias("f")
+    )
+    pieces = F.transform(steps, lambda x: F.concat(x["b"], F.when(x["f"] == "", x["f"]).otherwise(abbreviation(x["f"]))))
+    return F.get(F.filter(F.array(_tidy(F.array_join(pieces, ""))), lambda name: name != ""), F.lit(0))
 
 
 def _tidy(c: Column) -> Column:

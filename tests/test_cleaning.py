@@ -131,3 +131,10 @@ def test_a_tab_number_names_its_text_a_bounded_number_of_times(spark, column):
     assert plan.count("trim(cast(id") <= 12
     values = ["0", "00 00", "000000012", "0012345678", "000000000000", "-12.0", "12,5.", "№"]
     assert column(values, tab_number) == ["00000000", "00000000", "00000012", "12345678", "00000000", "00000-12", "00000125", None]
+
+
+def test_client_names_are_cut_without_a_pattern_compiled_for_every_row(spark, column):
+    plan = plan_of(spark, lambda df: df.select(client_name(df["v"])))
+    assert "split(" not in plan
+    values = ["A\nООО«Б» ЗАОВ", "«общество с ограниченной ответственностью» \"Акционерное Общество.\"Я", "ооо х", ""]
+    assert column(values, client_name) == ["A\nООО «Б» ЗАО В", "ООО АО Я", "ооо х", None]
