@@ -308,8 +308,9 @@ def near_duplicates(
         found = _pairs(postings.filter(F.col("df") <= SHORT_LIST), percent)
         pairs = found if pairs is None else pairs.unionByName(found)
         hot = nodes.join(postings.filter(F.col("df") > SHORT_LIST).select("node").distinct(), "node", "left_semi")
+        # Stored, because a level reads its nodes twice; the last level needs no sketches of this size.
+        hot = stored(hot if k != SKETCHES[-2] else hot.select("node", "id"))
     near = stored(_estimated(pairs.distinct(), nodes, percent))
-    hot = stored(hot.select("node", "id"))
     needed = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot.select("node")).distinct()
     ids = needed.join(nodes.select("node", "id"), "node")
     texts = stored(base.join(ids, "id").select("node", "text").dropDuplicates(["node"]))

@@ -64,3 +64,16 @@ def test_groups_copies_and_edges_against_brute_force(documents):
 
 def test_empty_table(documents):
     assert neardup.near_duplicates(documents([])).count() == 0
+
+
+def test_nodes_of_a_level_are_read_from_storage(documents, monkeypatch):
+    """Each level reads its nodes twice, so none may be a join that would be done twice."""
+    plans, postings = [], neardup._postings
+
+    def seen(nodes, *rest):
+        plans.append(nodes._jdf.queryExecution().optimizedPlan().toString())
+        return postings(nodes, *rest)
+
+    monkeypatch.setattr(neardup, "_postings", seen)
+    neardup.near_duplicates(documents([(i, f"a b c d e f{i % 3}") for i in range(9)]), shingle=2)
+    assert len(plans) == len(neardup.SKETCHES) and not any("Join" in p for p in plans)
