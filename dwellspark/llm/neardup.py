@@ -84,7 +84,8 @@ def _sketch(size: int, k: int):
                 other = hashing.mix(values ^ hashing.MULTIPLIERS[9])
                 sums = np.array([values.sum(dtype=np.uint64), other.sum(dtype=np.uint64), np.uint64(len(values))])
                 nodes.append((sums * hashing.MULTIPLIERS[:3]).sum(dtype=np.uint64))
-                kept.append(values[:k])
+                # A copy: a slice would hold the whole set until the batch is done.
+                kept.append(values[:k].copy())
             lengths = np.array([len(v) for v in kept], dtype=np.int32)
             flat = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
             lists = pa.ListArray.from_arrays(

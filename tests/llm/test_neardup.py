@@ -1,5 +1,8 @@
 import random
 import re
+import tracemalloc
+
+import pyarrow as pa
 
 from dwellspark.llm import neardup
 
@@ -77,3 +80,14 @@ def test_nodes_of_a_level_are_read_from_storage(documents, monkeypatch):
     monkeypatch.setattr(neardup, "_postings", seen)
     neardup.near_duplicates(documents([(i, f"a b c d e f{i % 3}") for i in range(9)]), shingle=2)
     assert len(plans) == len(neardup.SKETCHES) and not any("Join" in p for p in plans)
+
+
+def test_memory_of_sketches_follows_the_sketches(rng):
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(2000)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    tracemalloc.start()
+    for _ in neardup._sketch(2, 32)(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6
