@@ -120,19 +120,17 @@ def best_records(daily: DataFrame, level: str, group_only: bool, tags: Sequence[
     """Across dates: most days first, then the newest date."""
     keys = [*tags, *record_keys(level, group_only)]
     rest = [c for c in daily.columns if c not in keys]
-    # Nulls are the smallest in a struct.
-    best = daily.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct("days_on_stage", "report_date")).alias("best")
-    )
-    flat = best.select(*keys, "best.*")
+    # Nulls are the smallest in a struct. A date is there once, so what follows it decides nothing.
+    order = ("days_on_stage", "report_date")
+    best = daily.groupBy(*keys).agg(F.max(F.struct(*order, *[c for c in rest if c not in order])).alias("best"))
+    flat = best.select(*keys, *[F.col("best")[c].alias(c) for c in rest])
     stage = "deal_stage" if level == "substage" else "current_status"
-    out = flat.withColumns(
-        {
-            "analysis_level": F.lit(level),
-            "stage_key": F.col(stage),
-            "deal_stage": F.col("deal_stage") if level == "substage" else F.lit(""),
-        }
-    )
+    out = flat.withColumns({"analysis_level": F.lit(level), "stage_key": F.col(stage)})
+    if level != "substage":
+        # A status has no step; the column stands behind the durations.
+        ahead = [c for c in flat.columns if c in (*keys, "report_date", "days_on_stage", "days_since_deal")]
+        behind = [c for c in out.columns if c not in (*ahead, "deal_stage")]
+        out = out.select(*ahead, F.lit("").alias("deal_stage"), *behind)
     return out.withColumn("product", F.lit(K.GROUP_ONLY_PRODUCT)) if group_only else out
 
 
@@ -161,10 +159,11 @@ def lead_stage_records(
     """
     group_only = product_mode == "group_only"
     tags = list(tags)
-    parts = [
-        best_records(dedup_same_date(df, lv, group_only, dedup_agg, seq, tags), lv, group_only, tags)
-        for lv in levels_of(level)
-    ]
+    parts = []
+    for lv in levels_of(level):
+        # Records of a status show no step of the deal, so none is looked for.
+        used = df if lv == "substage" else df.drop("deal_stage")
+        parts.append(best_records(dedup_same_date(used, lv, group_only, dedup_agg, seq, tags), lv, group_only, tags))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 

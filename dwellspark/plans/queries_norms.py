@@ -160,9 +160,10 @@ def run_records(spark, sf):
     return lead_stage_records(rows.drop("change_conditions", "efs_flag", "data_entry"))
 
 
-def all_records(spark, sf):
-    """Records of all reports, nothing filtered."""
-    columns = [c for c in RUN_COLUMNS if c not in ("change_conditions", "efs_flag", "data_entry")]
+def all_records(spark, sf, km=True):
+    """Records of all reports, nothing filtered; without their managers, where nothing is said of them."""
+    unused = ("change_conditions", "efs_flag", "data_entry", *([] if km else ["km"]))
+    columns = [c for c in RUN_COLUMNS if c not in unused]
     return lead_stage_records(stage_reports(spark, sf, *columns))
 
 

@@ -198,7 +198,7 @@ cte("pf", _flat_sql())
 
 def flat(spark, sf):
     keys = ("product_group", "product", "stage_key", "analysis_level")
-    return P.pivot_flat(norms(all_records(spark, sf), keys, METRICS, km=None), METRICS)
+    return P.pivot_flat(norms(all_records(spark, sf, km=False), keys, METRICS, km=None), METRICS)
 
 
 @query("q_pivot_flat", "SELECT * FROM pf")

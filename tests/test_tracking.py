@@ -187,3 +187,12 @@ def test_coverage(spark):
     a = spark.createDataFrame([("1",), (" 2 ",), ("",), (None,)], "lead_id string")
     b = spark.createDataFrame([("2",), ("3",)], "lead_id string")
     assert rows(lead_coverage(a, b)) == [("1", "missing"), ("3", "extra")]
+
+
+def test_records_of_a_status_look_for_no_step(reports):
+    """The step of the deal is empty there; without managers only numbers are kept, which are hashed."""
+    got = lead_stage_records(reports.drop("km"))
+    assert {r["deal_stage"] for r in got.collect()} == {""}
+    assert got.columns == [c for c in lead_stage_records(reports).columns if c != "km"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "min_by(" not in plan and "minby(" not in plan
