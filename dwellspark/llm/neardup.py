@@ -7,9 +7,11 @@
    size - floor + SHARED of both. Only those are put into inverted lists.
 3. Lists of up to SHORT_LIST nodes give pairs, and pairs of SHARED lists are candidates. Nodes of
    longer lists go to the next level with a larger k, where a common passage reaches less far into
-   the rare values; at the last level most texts are there as whole sets. What is common even there
-   are large groups of near copies: each node is compared with the nodes beside it in some orders of
-   its group, and after those links only pairs of nodes that are in different components are left.
+   the rare values; at the last level most texts are there as whole sets. The first level is that
+   large at once: with few values lists grow long as the table grows, and all nodes would be listed
+   twice. What is common even at the last level are large groups of near copies: each node is
+   compared with the nodes beside it in some orders of its group, and after those links only pairs of
+   nodes that are in different components are left.
 4. The union sketch (the k smallest values of both sketches) estimates the similarity of candidates.
 5. What passes is verified on the full sets: at first the best two candidates of each node, then
    those pairs that are not yet connected. Components follow from verified links only.
@@ -32,7 +34,7 @@ from dwellspark.llm.components import components
 from dwellspark.llm.tables import stored
 
 #: Retained values at the levels of inverted lists; the last is sketched for the nodes that need it.
-SKETCHES = (32, 128, 512)
+SKETCHES = (128, 512)
 #: Retained values in the estimate of a candidate pair.
 ESTIMATE = 64
 #: Lists that two candidates have in common.
@@ -295,7 +297,7 @@ def near_duplicates(
     (null if there is no other id); an empty table stays empty.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = stored(base.mapInArrow(_sketch(shingle, SKETCHES[1]), "id long, n long, node long, sketch array<long>"))
+    rows = stored(base.mapInArrow(_sketch(shingle, SKETCHES[0]), "id long, n long, node long, sketch array<long>"))
     sets = rows.filter(F.col("n") > 0)
     least = sets.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"))
     # Smaller sets are similar to equal ones only.
@@ -303,20 +305,16 @@ def near_duplicates(
     nodes = stored(
         some.groupBy("node").agg(F.min(F.struct("id", "n", "sketch")).alias("one")).select("node", "one.id", "one.n", "one.sketch")
     )
-    hot, pairs = nodes, None
-    for k in SKETCHES[:-1]:
-        postings = stored(_postings(hot, k, percent))
-        found = _pairs(postings.filter(F.col("df") <= SHORT_LIST), percent)
-        pairs = found if pairs is None else pairs.unionByName(found)
-        hot = nodes.join(postings.filter(F.col("df") > SHORT_LIST).select("node").distinct(), "node", "left_semi")
-        # Stored, because a level reads its nodes twice; the last level needs no sketches of this size.
-        hot = stored(hot if k != SKETCHES[-2] else hot.select("node", "id"))
-    near = stored(_estimated(pairs.distinct(), nodes, percent))
-    needed = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot.select("node")).distinct()
+    postings = stored(_postings(nodes, SKETCHES[0], percent))
+    pairs = _pairs(postings.filter(F.col("df") <= SHORT_LIST), percent)
+    # The last level makes its own sketches, so these stay where they are.
+    hot = stored(postings.filter(F.col("df") > SHORT_LIST).select("node").distinct())
+    near = stored(_estimated(pairs, nodes, percent))
+    needed = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot).distinct()
     ids = needed.join(nodes.select("node", "id"), "node")
     texts = stored(base.join(ids, "id").select("node", "text").dropDuplicates(["node"]))
     large = stored(
-        texts.join(hot.select("node"), "node", "left_semi")
+        texts.join(hot, "node", "left_semi")
         .select(F.col("node").alias("id"), "text")
         .mapInArrow(_sketch(shingle, SKETCHES[-1]), "id long, n long, node long, sketch array<long>")
         .select(F.col("id").alias("node"), "n", "sketch")

@@ -82,6 +82,21 @@ def test_nodes_of_a_level_are_read_from_storage(documents, monkeypatch):
     assert len(plans) == len(neardup.SKETCHES) and not any("Join" in p for p in plans)
 
 
+def test_nodes_are_listed_once_before_the_last_level(documents, monkeypatch):
+    """A common passage makes every list long; with a level for few values all nodes were listed twice."""
+    listed, postings = [], neardup._postings
+
+    def seen(nodes, *rest):
+        listed.append(nodes.count())
+        return postings(nodes, *rest)
+
+    monkeypatch.setattr(neardup, "_postings", seen)
+    rng, passage = random.Random(5), " ".join(f"p{i}" for i in range(30))
+    rows = [(i, f"{passage} " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(30))) for i in range(50)]
+    assert run(documents(rows), 2) == brute(rows, 2)
+    assert sum(listed[:-1]) == len(rows)
+
+
 def test_memory_of_sketches_follows_the_sketches(rng):
     texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(2000)) for _ in range(300)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
