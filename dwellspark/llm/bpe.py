@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwellspark.llm.held import held
 from dwellspark.llm.tables import stored, whole_text
 
 #: Characters of a leaf; longer texts are cut.
@@ -37,8 +38,9 @@ RUN = 16
 #: Bytes that a worker's memory of words and pieces may take, what an entry of it takes besides its
 #: characters, and characters of a word above which it is encoded each time.
 REMEMBERED, ENTRY, LONG_WORD = 64 << 20, 220, 200
-#: Bytes of text whose words are looked up together.
-GROUP_BYTES = 1 << 21
+#: Bytes of text whose words are looked up together, and pieces that are encoded together. A worker
+#: keeps what the largest group once took, which is many times these bytes.
+GROUP_BYTES, BATCH = 1 << 19, 4096
 #: Words not found, as a multiple of those remembered, after which a memory starts anew.
 RENEWED = 8
 WORD_END = "</w>"
@@ -131,8 +133,11 @@ class Codec:
                 out[word] = self.directly(word)
         known = self.pieces
         missing = list({p for parts in cut.values() for p in parts if p not in known})
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        new = {p: np.array(x.ids, "<u4").tobytes() for p, x in zip(missing, found, strict=True)}
+        new: dict[str, bytes] = {}
+        for i in range(0, len(missing), BATCH):
+            part = missing[i : i + BATCH]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            new.update((p, np.array(x.ids, "<u4").tobytes()) for p, x in zip(part, found, strict=True))
         for word, parts in cut.items():
             out[word] = b"".join([known[p] if p in known else new[p] for p in parts])
         return out, new
@@ -144,13 +149,8 @@ class Codec:
         return self.tokenizer.decode(numbers, skip_special_tokens=False)
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    return held(f"bpe {path}", lambda: Codec(path))
 
 
 @dataclass

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark.llm import hashing
+from dwellspark.llm.held import forget
 from dwellspark.llm.tables import whole_text
 
 #: Edits allowed per hundred words; items below SHORT words must occur as they are.
@@ -233,6 +234,7 @@ def _search(ids: list[int], texts: list[str]):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()), ("item_words", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         index = Index(ids, _item_words(texts))
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()

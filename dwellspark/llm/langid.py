@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark.llm import hashing
+from dwellspark.llm.held import forget
 from dwellspark.llm.tables import whole_text
 
 WINDOW = 256
@@ -201,6 +202,7 @@ def fit(labelled: DataFrame) -> Network | None:
 
 def _predict(net: Network, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tables = Tables(net)
         for batch in batches:
             mean = np.zeros((len(batch), len(net.languages)))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.llm import hashing
 from dwellspark.llm.components import components
+from dwellspark.llm.held import forget
 from dwellspark.llm.tables import stored
 
 #: Retained values at the levels of inverted lists; the last is sketched for the nodes that need it.
@@ -78,6 +79,7 @@ def _sketch(size: int, k: int):
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             n, nodes, kept = [], [], []
             for values in _sets(batch.column("text"), size):
@@ -228,6 +230,7 @@ def _verify(size: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         centre, own = None, None
         for batch in batches:
             a, b = [], []

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from dwellspark.llm import bpe
+from dwellspark.llm import bpe, decontam, neardup, repeats
 from dwellspark.llm.queries import VOCABULARY
 
 ALPHABET = "abcdefghié'sT1 \n,.!!ÏİΣς́漢字\x1c "
@@ -65,3 +65,30 @@ def test_table(own, documents, rng):
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
     assert bpe.encode_documents(documents([]), VOCABULARY).count() == 0
+
+
+def test_pieces_are_encoded_in_batches(own, monkeypatch):
+    fresh, sizes = bpe.Codec(VOCABULARY), []
+    whole = fresh.tokenizer
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(whole, name)
+
+        def encode_batch_fast(self, pieces, **options):
+            sizes.append(len(pieces))
+            return whole.encode_batch_fast(pieces, **options)
+
+    fresh.tokenizer = Counted()
+    monkeypatch.setattr(bpe, "BATCH", 3)
+    text = "the dog and one two three don't four"
+    assert fresh.ids(text) == np.array(direct(own, text)[0], "<u4").tobytes()
+    assert len(sizes) > 1 and max(sizes) <= 3
+
+
+def test_other_operators_give_up_the_codec():
+    for run in (neardup._sketch(2, 8), repeats._anchors(400), decontam._search([], [])):
+        first = bpe.codec(VOCABULARY)
+        assert bpe.codec(VOCABULARY) is first
+        list(run(iter([])))
+        assert bpe.codec(VOCABULARY) is not first
