@@ -55,12 +55,14 @@ def distinct_levels(
 ) -> list[DataFrame]:
     """For every level (a list of keys) its groups with ``n_<column>``, the distinct values of each column.
 
-    The rows are read once per column, for the level of all keys; every other level is put together
-    from the smallest level before it that has its keys. A group without a value has 0; a level without
+    What stands behind the rows is read once: keys and columns are written, and groups, numbers and the
+    bitmaps of the level of all keys are made from that. Every other level is put together from the
+    smallest level before it that has its keys. A group without a value has 0; a level without
     keys is one row.
     """
     order = sorted(range(len(levels)), key=lambda i: -len(set(levels[i])))
     finest = list(dict.fromkeys(k for level in levels for k in level))
+    df = materialise(df.select(*dict.fromkeys([*finest, *columns])))
     groups = materialise(df.select(*finest).distinct()) if finest else df.select(F.lit(1).alias("_")).limit(1)
     out: dict[int, DataFrame] = {
         i: (groups.select(*levels[i]).distinct() if levels[i] else df.sparkSession.range(1).select()) for i in order

@@ -98,3 +98,25 @@ def test_one_chart_of_all_series(spark):
     assert wide == [("p", 1, 4, 3), ("q", 1, 4, 5), ("r", 1, 4, 0)]
     assert rows(H.bucket_defs(hist, [], 24), "bucket", "start_day") == [(0, 1), (1, 4)]
     assert rows(H.bucket_of_percentile(hist, [], ["line"], 80), "line", "bucket") == [("p", 1), ("q", 1)]
+
+
+def _counted(spark, rows, schema):
+    """A frame of these rows, and how many of them were read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def note(row):
+        read.add(1)
+        return row
+
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(note), schema), read
+
+
+def test_levels_of_distinct_counts_read_the_rows_once(spark):
+    from dwellspark.operators.distinct import distinct_rollup
+
+    rows = [("a", "p", "1", "k"), ("a", "q", "1", None), (None, "q", "2", "k"), ("b", "p", None, "m")]
+    df, read = _counted(spark, rows, "tb string, product string, lead_id string, km string")
+    got = distinct_rollup(df, (("tb", "product"), ("tb",), ()), ["lead_id", "km"]).collect()
+    assert read.value == len(rows)
+    assert sorted(tuple(r)[3:] for r in got if r["level"] == 1) == [(0, 1), (1, 1), (1, 1)]
+    assert [tuple(r)[3:] for r in got if r["level"] == 2] == [(2, 2)]
