@@ -314,11 +314,12 @@ cte(
 )
 
 
-def run_members(spark, sf):
-    """Member x record rows, with the teams kept for the lists."""
+def run_members(spark, sf, keep=False):
+    """Member x record rows, with the teams kept for the lists; ``keep`` writes these for a second use."""
     # The four sources of a team and the members all read the records.
     detail = materialise(run_detail(spark, sf))
     team = run_team(detail, spark, sf)
+    team = materialise(team) if keep else team
     return M.explode_members(detail, team, list(RECORD)), team
 
 
@@ -357,9 +358,9 @@ cte(
 )
 
 
-def run_ranking(spark, sf, n=3):
+def run_ranking(spark, sf, n=3, keep=False):
     """Ranked members, their hotspots and stuck leads."""
-    people, team = run_members(spark, sf)
+    people, team = run_members(spark, sf, keep)
     # Three results read these rows, so they are written once.
     people = materialise(people)
     top = M.top_managers(M.manager_totals(people), n)
@@ -401,7 +402,9 @@ cte(
 
 
 def run_ranked(spark, sf):
-    top, spots, items, team = run_ranking(spark, sf)
+    # Items read the teams again, so records and rosters are joined once.
+    top, spots, items, team = run_ranking(spark, sf, keep=True)
+    items = materialise(items)
     return M.ranked_with_hotspots(top, spots, items, team, list(RECORD))
 
 

@@ -120,3 +120,20 @@ def test_levels_of_distinct_counts_read_the_rows_once(spark):
     assert read.value == len(rows)
     assert sorted(tuple(r)[3:] for r in got if r["level"] == 1) == [(0, 1), (1, 1), (1, 1)]
     assert [tuple(r)[3:] for r in got if r["level"] == 2] == [(2, 2)]
+
+
+def test_teams_of_ranked_managers_are_read_once(spark, monkeypatch):
+    from dwellspark.plans import queries_managers as Q
+
+    compose, held = Q.run_team, []
+
+    def counted(detail, session, sf):
+        team = compose(detail, session, sf)
+        rows = team.collect()
+        df, read = _counted(session, rows, team.schema)
+        held.append((len(rows), read))
+        return df
+
+    monkeypatch.setattr(Q, "run_team", counted)
+    got = Q.run_ranked(spark, "/root/testdata/sf0.001").collect()
+    assert got and [read.value for _, read in held] == [n for n, _ in held]
