@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.operators.teams import contact_lookup
 from dwellspark.plans.registry import cte
-from dwellspark.session import SCAN_PARTITIONS
+from dwellspark.session import SCAN_PARTITIONS, split_hot_keys
 
 
 # Declared, so that no job has to look into the files first.
@@ -90,21 +90,48 @@ _JOINS = {
     "nation": ("c_nationkey = n_nationkey", ("orders", "customer")),
     "region": ("n_regionkey = r_regionkey", ("orders", "customer", "nation")),
 }
+# Tables that order lines meet by a key of their own; the rest hang on the orders.
+_OF_LINES = ("part", "supplier")
+# Times of which every column uses the day.
+_DAYS = ("l_shipdate", "o_orderdate")
+
+
+def _by_day(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("date") for c in _DAYS if c in df.columns})
 
 
 def stage_reports(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """One order line as one dated status row; only the tables of `columns` are joined."""
+    """One order line as one dated status row; only the tables of `columns` are joined.
+
+    What an exchange writes stays on disk until the query ends. Lines therefore carry their finished
+    columns, orders meet their customers before they meet lines, and lines meet orders last and by the
+    lead: the rows leave that join dealt by lead, and records per lead need no exchange of wide rows. A
+    lead with very many rows is split by the join; only then do its records pass exchanges again.
+    """
+    split_hot_keys(spark)
     wanted = columns or tuple(_STAGE)
     need: set[str] = set()
     for c in wanted:
         source = _STAGE[c][0]
         if source:
             need |= {source, *_JOINS[source][1]}
-    df = table(spark, sf_dir, "lineitem")
-    for name, (on, _) in _JOINS.items():
+    # These two are a key or a day of the line, which the joins carry anyway.
+    ready = [c for c in wanted if not _STAGE[c][0] and c not in ("lead_id", "report_date")]
+    lines = _by_day(table(spark, sf_dir, "lineitem")).selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", *[f"{_STAGE[c][1]} AS {c}" for c in ready]
+    )
+    for name in _OF_LINES:
         if name in need:
-            df = df.join(_dimension(spark, sf_dir, name), F.expr(on), "left")
-    return df.select(*[F.expr(_STAGE[c][1]).alias(c) for c in wanted])
+            lines = lines.join(_dimension(spark, sf_dir, name), F.expr(_JOINS[name][0]), "left")
+    if "orders" in need:
+        orders = _by_day(_dimension(spark, sf_dir, "orders"))
+        for name, (on, _) in _JOINS.items():
+            if name in need and name not in ("orders", *_OF_LINES):
+                orders = orders.join(_dimension(spark, sf_dir, name), F.expr(on), "left")
+        lead = _STAGE["lead_id"][1]
+        on = f"{lead} = {lead.replace('l_orderkey', 'o_orderkey')}" if "lead_id" in wanted else _JOINS["orders"][0]
+        lines = lines.join(orders, F.expr(on), "left")
+    return lines.select(*[F.col(c) if c in ready else F.expr(_STAGE[c][1]).alias(c) for c in wanted])
 
 
 _EVENT = {

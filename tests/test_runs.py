@@ -1,5 +1,8 @@
 import os
+import re
+import sys
 
+import duckdb
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -9,12 +12,14 @@ from dwellspark.plans.fixtures import contacts, stage_reports, team_members
 from dwellspark.functions.output import json_safe
 from dwellspark.operators.slices import slices
 from dwellspark.operators.tracking import lead_stage_records
+from dwellspark.plans.registry import with_ctes
 from dwellspark.plans.report import dashboard, report, write, write_dashboard
 from dwellspark.plans.settings import CLIP_RULES, FILTERS, ORDER
 from dwellspark.sources.rosters import load_contacts
 from dwellspark.sources.sinks import read_csv, write_csv, write_split
 
 SF = "/root/testdata/sf0.001"
+TOOLS = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools")
 SPEC = {"filters": FILTERS, "filters_order": ORDER, "clip_rules": CLIP_RULES, "status_order": ("AF", "NO")}
 
 
@@ -137,6 +142,76 @@ def test_hot_lead(spark):
     assert got == want
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as over tables that are too large to be sent to every task."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.unset(key)
+
+
+def test_records_of_lines_need_no_exchange_behind_the_joins(spark, no_broadcast):
+    """An exchange stays on disk until the query ends: lines pass one per key, wide records none."""
+    plan = QUERIES["q_stage_records_lines"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = sorted(re.findall(r"Exchange hashpartitioning\((?:cast\()?(\w+)#", plan))
+    assert dealt == sorted([
+        "l_orderkey", "l_orderkey", "l_partkey", "l_suppkey", "p_partkey", "s_suppkey", "o_orderkey", "o_custkey",
+        "c_custkey", "c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey",
+    ])  # the first of l_orderkey deals the one file of the test to the cores
+
+
+def test_hot_order_is_split(spark, tmp_path, no_broadcast):
+    for name in ("orders", "part", "supplier", "customer", "nation", "region"):
+        os.symlink(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    hot = lines.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 != 0, F.lit(7)).otherwise(F.col("l_orderkey")).cast("long"))
+    hot.write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain = rows(QUERIES["q_stage_records_lines"](spark, str(tmp_path)))
+    small = {
+        "skewJoin.skewedPartitionThresholdInBytes": "1k", "advisoryPartitionSizeInBytes": "1k", "skewJoin.skewedPartitionFactor": "1.5",
+        "coalescePartitions.enabled": "false",
+    }
+    for key, value in small.items():
+        spark.conf.set(f"spark.sql.adaptive.{key}", value)
+    try:
+        df = QUERIES["q_stage_records_lines"](spark, str(tmp_path))
+        assert rows(df) == plain
+        joins = re.findall(r"SortMergeJoin\(skew=true\) \[cast\(l_orderkey", df._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for key in small:
+            spark.conf.unset(f"spark.sql.adaptive.{key}")
+    assert joins
+
+
+def test_lines_with_odd_keys_equal_sql(spark, tmp_path):
+    """Missing keys, keys that match nothing and keys that are there twice, in every table."""
+    odd = {
+        "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"), "orders": ("o_orderkey", "o_custkey"), "part": ("p_partkey",),
+        "supplier": ("s_suppkey",), "customer": ("c_custkey", "c_nationkey"), "nation": ("n_nationkey", "n_regionkey"),
+        "region": ("r_regionkey",),
+    }
+    number = F.monotonically_increasing_id()
+    for name, keys in odd.items():
+        df = spark.read.parquet(f"{SF}/{name}.parquet").coalesce(1)
+        far = {k: F.when((number + i) % 11 == 3, None).when((number + i) % 13 == 5, F.col(k) + 1_000_000).otherwise(F.col(k)).cast(df.schema[k].dataType) for i, k in enumerate(keys)}
+        twice = df.unionByName(df.filter(F.col(keys[0]) % 7 == 2)) if name != "lineitem" else df.limit(400)
+        twice.coalesce(1).withColumns(far).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in odd:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    sys.path.insert(0, TOOLS)
+    from check import compare
+
+    text, count = compare(spark, con, str(tmp_path), stage_reports, with_ctes("SELECT * FROM sr"))
+    assert text is None and count > 400, text
+    by_line = ("seq", "tb", "days_since_deal", "efs_flag")
+    # A table that no column comes from is not joined, so a key that is there twice in it counts once.
+    some = f"SELECT DISTINCT {', '.join(by_line)} FROM sr"
+    text, _ = compare(spark, con, str(tmp_path), lambda s, d: stage_reports(s, d, *by_line).distinct(), with_ctes(some))
+    assert text is None, text
+
+
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
 
