@@ -62,31 +62,33 @@ def norms(
 ) -> DataFrame:
     """Norms per group, with and without territory, after clipping.
 
-    The records are read once: they are counted per group, manager and day, and
-    everything else works on those counts. Where the counts are used several
-    times they are written to reliable storage by `cut`. `tags` are further
-    group keys.
+    The records are read once. Where managers or a second metric need them
+    again, their keys, manager and days are written to reliable storage by
+    `cut`, one row each: nearly every record would be a count of its own there,
+    and counting them an exchange of all. Everything else works on counts per
+    group and day. `tags` are further group keys.
     """
     keys = [*tags, *keys]
     km = km if km and km in records.columns and any(float(p) == 80.0 for p in percentiles) else None
     day_of = {m: f"_d{i}" for i, m in enumerate(dict.fromkeys([clip_metric, *metrics]))}
     work = records.withColumns({d: whole_days(F.col(m)) for m, d in day_of.items()})
     fine = [*([tb] if tb else []), *keys]
+    managers = []
     if km:
         name = strip(F.col(km))
         work = work.withColumn("_km", F.when(~is_empty(name, K.EMPTY_MANAGER), name))
-        fine.append("_km")
-    cube = work.groupBy(*fine, *day_of.values()).agg(F.count(F.lit(1)).alias("cnt"))
-    group = list(keys)
-    if tb:
-        group = ["is_all", tb, *keys]
+        managers = ["_km"]
+    work = work.select(*fine, *managers, *day_of.values())
     if km or len(day_of) > 1:
         # Used several times below; the records behind it are not read again.
-        cube = cut(cube)
-    if tb:
-        cube = with_overall(cube, tb, all_label)
+        work = cut(work)
+    group = ["is_all", tb, *keys] if tb else list(keys)
 
-    hist = cube.groupBy(*group, F.col(day_of[clip_metric]).alias("day")).agg(F.sum("cnt").alias("cnt"))
+    def scoped(df: DataFrame) -> DataFrame:
+        return with_overall(df, tb, all_label) if tb else df
+
+    counts = work.groupBy(*fine, F.col(day_of[clip_metric]).alias("day")).agg(F.count(F.lit(1)).alias("cnt"))
+    hist = scoped(counts).groupBy(*group, "day").agg(F.sum("cnt").alias("cnt"))
     hist = clip(hist, group, clip_rules, min_group_size, min_remaining)
     kept = F.when(F.col("kept"), F.col("cnt")).otherwise(F.lit(0))
     audits = audit_names(clip_rules) if clip_rules else []
@@ -101,16 +103,18 @@ def norms(
     others = [m for m in metrics if m != clip_metric]
     if km or others:
         table = cut(table)
-        inside = attach(cube, table.select(*group, "_low", "_high", *_thresholds(table, km)), group, "inner")
+        inside = attach(scoped(work), table.select(*group, "_low", "_high", *_thresholds(table, km)), group, "inner")
         first = F.col(day_of[clip_metric])
         inside = inside.filter(first.isNull() | first.between(F.col("_low"), F.col("_high")))
         if km and clip_metric in metrics:
             table = attach(table, _km_counts(inside, group, clip_metric, day_of[clip_metric]), group)
         for metric in others:
             day = day_of[metric]
-            h = inside.groupBy(*group, F.col(day).alias("day")).agg(F.sum("cnt").alias("cnt"))
+            h = inside.groupBy(*group, F.col(day).alias("day")).agg(F.count(F.lit(1)).alias("cnt"))
             stats = percentile_stats(h, group, percentiles, metric)
             if km:
+                # Written first: Spark then knows that it is small and deals no records for this join.
+                stats = cut(stats)
                 limit = stats.select(*group, f"{metric}_p80_days")
                 over = attach(inside, limit, group, "inner")
                 stats = attach(stats, _km_counts(over, group, metric, day), group)

@@ -1,12 +1,16 @@
 import math
 import random
+import re
+import time
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from dwellspark.operators.clipping import clip, clip_bounds
 from dwellspark.operators import histogram as H
 from dwellspark.operators.norms import active_percentiles, export_columns, norms, stats_nested
+from dwellspark.session import materialise
 
 
 def hist_of(spark, days, **key):
@@ -138,6 +142,48 @@ def test_same_norms_with_any_partitioning(spark):
     assert results[0] == results[1]
 
 
+def test_records_behind_norms_are_held_without_an_exchange(spark):
+    """Nearly every record has a manager and days of its own; counting them first would write them all once more."""
+    data = [("g", f"p{i % 3}", "s", f"T{i % 2}", f"M{i % 11}", float(i % 7), float(i % 5) if i % 4 else None) for i in range(200)]
+    df = spark.createDataFrame(data, "product_group string, product string, current_status string, tb string, km string, days_on_stage double, days_since_deal double")
+    held = []
+
+    def cut(part):
+        held.append(part)
+        return materialise(part)
+
+    table = norms(df, metrics=("days_on_stage", "days_since_deal"), cut=cut)
+    assert "Exchange" not in held[0]._jdf.queryExecution().executedPlan().toString() and held[0].count() == 200
+    # Norms of both metrics are held, so that their size is known where records meet them.
+    assert [len(part.columns) < 10 for part in held] == [True, False, False]
+    want = {}
+    for tb in ("T0", "T1", None):
+        for p in ("p0", "p1", "p2"):
+            days = sorted(r[6] for r in data if r[1] == p and tb in (r[3], None) and r[6] is not None)
+            p80 = days[max(1, math.ceil(0.8 * len(days))) - 1]
+            kms = {r[4] for r in data if r[1] == p and tb in (r[3], None) and r[6] is not None and r[6] >= p80}
+            want[(tb or "все тб", p)] = (len(days), p80, len(kms))
+    shown = ("days_since_deal_count", "days_since_deal_p80_days", "days_since_deal_p80_km_count")
+    assert {(r.tb, r["product"]): tuple(r[c] for c in shown) for r in table.collect()} == want
+
+
+def test_exchanges_go_once_their_rows_are_written(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def exchanges():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" ")))
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = exchanges(), spark.conf.get(key, None)
+    held = materialise(spark.range(1000).repartition(7, F.col("id") % 5).groupBy((F.col("id") % 3).alias("k")).count())
+    for _ in range(100):
+        if not exchanges() - before:
+            break
+        time.sleep(0.1)
+    assert not exchanges() - before
+    assert rows(held) == [(0, 334), (1, 333), (2, 333)] and spark.conf.get(key, None) == setting
+
+
 def test_export_columns():
     assert active_percentiles([{"p": 20}, {"p": 50, "compute": False}, {"p": 80}]) == [20.0, 80.0]
     assert export_columns("m", (20, 80), show_min=False) == [
